@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, ship, shuffle_parts, text_chunks, words
+from .tiles import each_tile, tile_rows
 
 TILE_ROWS = 1024
 COLUMN_BLOCK = 8192
@@ -173,39 +174,20 @@ def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(keep, np.int64)
 
 
-def _tiles(batches, num: int, den: int):
-    """Tiles come sorted by (grp, i, j); one is held at a time."""
-
-    def solve(key, rows):
-        _, i, j = key
-        side = [[r for r in rows if r[1] == k] for k in ((i,) if i == j else (i, j))]
-        part = []
-        for s in side:
-            s = list({r[0]: r for r in s}.values())
-            sets = [np.frombuffer(r[2], U64) for r in s]
-            part.append((np.array([r[0] for r in s], np.int64), np.concatenate([*sets, np.zeros(0, U64)]), np.array([len(x) for x in sets], np.int64)))
-        (na, ga, sa), (nb, gb, sb) = part[0], part[-1]
-        if not len(na) or not len(nb):
-            return None
-        x, y = product_links(ga, sa, gb, sb, num, den, i == j)
-        x, y = na[x], nb[y]
-        k = forest(x, y)
-        return edges_batch(x[k], y[k]) if len(k) else None
-
-    was, rows = None, []
-    for b in batches:
-        for grp, i, j, node, block, grams in zip(*(b.column(c).to_pylist() for c in ("grp", "i", "j", "node", "block", "grams")), strict=True):
-            if was is not None and (grp, i, j) != was:
-                if (out := solve(was, rows)) is not None:
-                    yield out
-                rows = []
-            was = (grp, i, j)
-            rows.append((node, block, grams))
-    if was is not None and (out := solve(was, rows)) is not None:
-        yield out
-
-
-def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, num: int = 85, den: int = 100, tile_rows: int = TILE_ROWS) -> DataFrame:
+def tile_links(left: list, right: list, same: bool, num: int, den: int) -> pa.RecordBatch | None:
+    """Spanning links of one tile of rows (node, n-gram hashes)."""
+    part = []
+    for rows in (left, right):
+        sets = [np.frombuffer(r[1], U64) for r in rows]
+        part.append((np.array([r[0] for r in rows], np.int64), np.concatenate(sets), np.array([len(x) for x in sets], np.int64)))
+    (na, ga, sa), (nb, gb, sb) = part
+    x, y = product_links(ga, sa, gb, sb, num, den, same)
+    x, y = na[x], nb[y]
+    k = forest(x, y)
+    return edges_batch(x[k], y[k]) if len(k) else None
+
+
+def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, num: int = 85, den: int = 100, block_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document, for links of Jaccard num / den or more."""
     spark = docs.sparkSession
     ship(spark)
@@ -237,7 +219,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 nodes.append(node[r])
             if keys:
                 keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-                yield bucket_blobs(*_least_of_key(keys, nodes), buckets)
+                yield bucket_blobs(*_once(keys, nodes), buckets)
 
     table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long"))
     # a node's copies in different batches meet at its own key; star edges leave them out
@@ -245,14 +227,14 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     if not near.take(1):
         linked = near.limit(0)
     else:
-        linked = _verified(spark, src, table, near, n, num, den, tile_rows)
+        linked = _verified(spark, src, table, near, n, num, den, block_rows)
     joined = table.join(linked, "node", "left").withColumn("k", F.coalesce("root", "node"))
     least = joined.where("n_shingles > 0").groupBy("k").agg(F.min("doc_id").alias("least"))
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return joined.join(least, "k", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def _least_of_key(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _once(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All entries, each once."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
@@ -261,7 +243,7 @@ def _least_of_key(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.n
     return keys[new], nodes[new]
 
 
-def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, tile_rows: int) -> DataFrame:
+def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
     near = cut(near)
     bits = spark.sparkContext.broadcast(key_filter(near, "node"))
@@ -276,15 +258,7 @@ def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int,
                 some = some[np.unique(node[some], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([grams[ends[k] - sizes[k] : ends[k]].tobytes() for k in some], pa.binary())], names=["node", "grams"])
 
-    # Row groups of more than tile_rows nodes are cut into row blocks; each pair of blocks is a
-    # tile, so that a row goes to as many tiles as its group has blocks.
-    many = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    rows = near.join(many, "root").select("node", F.col("root").alias("grp"), F.ceil(F.col("members") / tile_rows).cast("int").alias("blocks"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sets = src.mapInArrow(sets_of, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    rows = rows.join(sets, "node")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiles = rows.select("node", "grp", "block", "grams", other).select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "grams")
-    parts = shuffle_parts(spark)
-    links = tiles.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(lambda it: _tiles(it, num, den), "a long, b long")
-    return components(links)
+    tiles = tile_rows(near, sets, ["grams"], block_rows)
+    solve = lambda left, right, same: tile_links(left, right, same, num, den)
+    return components(tiles.mapInArrow(lambda it: each_tile(it, ["grams"], solve), "a long, b long"))

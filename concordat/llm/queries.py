@@ -17,6 +17,12 @@ def tokenizer_file(spark: SparkSession, name: str = "piece_bpe_32k.model") -> st
     return public_tokenizers.path(name)
 
 
+def op1_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fuzzy_lines import line_groups
+
+    return line_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), num=80, den=100)
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_components
 
@@ -30,6 +36,7 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fuzzy_lines": op1_fuzzy_lines,
     "op2_ngram_join": op2_ngram_join,
     "op3_pieces": op3_pieces,
 }
