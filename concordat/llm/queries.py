@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def tokenizer_file(spark: SparkSession, name: str = "piece_bpe_32k.model") -> str:
@@ -35,13 +36,46 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file(spark), with_ids=False)
 
 
+def op7_sentence_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document that loses sentences: how many spans, and the spans themselves."""
+    from .sentence_runs import repeated_spans
+
+    found = repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    text = F.array_join(F.zip_with("starts", "ends", lambda a, b: F.concat(a.cast("string"), F.lit(":"), b.cast("string"))), ",")
+    return found.select("doc_id", F.size("starts").cast("long").alias("n_spans"), text.alias("spans"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .nearest import nearest
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.vec_id % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fuzzy_lines": op1_fuzzy_lines,
     "op2_ngram_join": op2_ngram_join,
     "op3_pieces": op3_pieces,
+    "op7_sentence_runs": op7_sentence_runs,
+    "op8_nearest": op8_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_nearest": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), d AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   list_distance(q.e, c.e) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+        ), r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score FROM d
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
