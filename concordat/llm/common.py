@@ -152,25 +152,25 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # --- bucket exchange -----------------------------------------------------------------------
 
 BUCKETS_SCHEMA = "bucket int, keys binary, ids binary"
+KEY_BYTES = 5
 
 
 def bucket_blobs(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Entries (key, id) as one binary row a bucket; ids keep whatever fixed width they have.
+    """Entries (key, ids) as one binary row a bucket, sorted by key; ids are longs, one or more.
 
-    Equal entries of one call meet here, and so do entries that differ only in an id no smaller
-    than another of the same key when ``ids`` is one word wide: a group of copies shrinks before
-    the shuffle.
+    Buckets are ranges of keys, so that a bucket only sends the 5 low bytes of each key: with some
+    million entries a bucket, other keys agree with them about once in a million entries.
     """
-    wide = ids.reshape(len(keys), -1)
-    bucket = (keys % U64(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
-    bucket, keys, wide = bucket[order], keys[order], wide[order]
+    order = np.argsort(keys)
+    keys, wide = keys[order], ids.reshape(len(keys), -1)[order]
+    bucket = ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     ends = np.r_[edges[1:], len(bucket)]
+    low = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(bucket[edges].astype(np.int32)),
-            pa.array([keys[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
+            pa.array(bucket[edges]),
+            pa.array([low[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
             pa.array([wide[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
         ],
         names=["bucket", "keys", "ids"],
@@ -178,14 +178,23 @@ def bucket_blobs(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBa
 
 
 def read_blobs(batches, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """All entries of a partition of blobs, as keys and an id matrix."""
+    """All entries of a partition of blobs whose key another entry shares, as keys and an id matrix,
+    sorted by key."""
     keys, ids = [], []
     for b in batches:
-        keys += [np.frombuffer(x, U64) for x in b.column("keys").to_pylist()]
+        for n, x in zip(b.column("bucket").to_pylist(), b.column("keys").to_pylist(), strict=True):
+            k = np.zeros((len(x) // KEY_BYTES, 8), np.uint8)
+            k[:, :KEY_BYTES] = np.frombuffer(x, np.uint8).reshape(-1, KEY_BYTES)
+            keys.append(k.view(U64)[:, 0] | U64(n) << U64(8 * KEY_BYTES))
         ids += [np.frombuffer(x, np.int64) for x in b.column("ids").to_pylist()]
     if not keys:
         return np.zeros(0, U64), np.zeros((0, width), np.int64)
-    return np.concatenate(keys), np.concatenate(ids).reshape(-1, width)
+    keys = np.concatenate(keys)
+    order = np.argsort(keys)
+    keys = keys[order]
+    same = keys[1:] == keys[:-1]
+    shared = np.r_[False, same] | np.r_[same, False]
+    return keys[shared], np.concatenate(ids).reshape(-1, width)[order[shared]]
 
 
 def star_edges(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,10 +206,14 @@ def star_edges(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     least = np.repeat(ids[first], np.diff(np.r_[first, len(keys)]))
     keep = ids != least
-    a, b = ids[keep], least[keep]
+    return distinct_pairs(ids[keep], least[keep])
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     return a[new], b[new]
 
 

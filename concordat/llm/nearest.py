@@ -84,9 +84,10 @@ class Heaps:
         i, j = np.nonzero(survivors(self.q, quantised(m), self.k, self.score[:, -1] * (1 + 1e-12)))
         keep = self.ids[i] != ids[j]
         i, j = i[keep], j[keep]
-        score = np.empty(len(i))
-        for s in range(0, len(i), 1 << 16):
-            score[s : s + (1 << 16)] = np.sqrt(((self.m[i[s : s + (1 << 16)]] - m[j[s : s + (1 << 16)]]) ** 2).sum(1))
+        score = np.zeros(len(i))
+        for d in range(m.shape[1]):  # in the order of the components
+            score += (self.m[i, d] - m[j, d]) ** 2
+        score = np.sqrt(score)
         rows = np.unique(i)
         old = np.repeat(rows, self.k)
         i, vec, score = np.concatenate([i, old]), np.concatenate([ids[j], self.vec[rows].ravel()]), np.concatenate([score, self.score[rows].ravel()])

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
-TILE_ROWS = 1024
-COLUMN_BLOCK = 8192
+TILE_ROWS = 2048
+COLUMN_BLOCK = 4096
 
 
 def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +131,7 @@ def product_links(ga: np.ndarray, sa: np.ndarray, gb: np.ndarray, sb: np.ndarray
     row_a, col_a, row_b, col_b = row_a[ka], place[col_a[ka]], row_b[kb], place[col_b[kb]]
     left_a, left_b = np.bincount(row_a, minlength=len(sa)), np.bincount(row_b, minlength=len(sb))
     # den * o >= num * (x + y - o)  is  o >= num * (x + y) / (den + num), rounded up
-    need = -((-num * (sa[:, None] + sb[None, :])) // (den + num))
+    need = (-((-num * (sa[:, None] + sb[None, :])) // (den + num))).astype(np.int32)
     overlap = np.zeros((len(sa), len(sb)), np.float32)
     alive = np.minimum(left_a[:, None], left_b[None, :]) >= need
     if same:
@@ -219,7 +219,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 nodes.append(node[r])
             if keys:
                 keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-                yield bucket_blobs(*_once(keys, nodes), buckets)
+                yield bucket_blobs(keys, nodes, buckets)
 
     table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long"))
     # a node's copies in different batches meet at its own key; star edges leave them out
@@ -234,15 +234,6 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return joined.join(least, "k", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def _once(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All entries, each once."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-    return keys[new], nodes[new]
-
-
 def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
     near = cut(near)
@@ -258,7 +249,7 @@ def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int,
                 some = some[np.unique(node[some], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([grams[ends[k] - sizes[k] : ends[k]].tobytes() for k in some], pa.binary())], names=["node", "grams"])
 
-    sets = src.mapInArrow(sets_of, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    sets = src.mapInArrow(sets_of, "node long, grams binary")
     tiles = tile_rows(near, sets, ["grams"], block_rows)
     solve = lambda left, right, same: tile_links(left, right, same, num, den)
     return components(tiles.mapInArrow(lambda it: each_tile(it, ["grams"], solve), "a long, b long"))

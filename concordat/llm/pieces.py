@@ -23,7 +23,7 @@ from .common import ship, strings
 
 SPACE_MARK = "▁"
 NONE = np.int32(1 << 30)
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 
 
 class PieceModel:
@@ -50,6 +50,9 @@ class PieceModel:
         for i, p in enumerate(proto.pieces):
             if p.type == 6:
                 self.byte_ids[int(p.piece[1:-1], 16)] = i
+        self.bytes = frozenset(self.byte_ids.tolist())
+        self.plain = [" ⁇ " if p.type == 2 else "" if p.type == 3 else p.piece.replace(SPACE_MARK, " ") for p in proto.pieces]
+        self.number = [str(i) for i in range(self.size)]
         scores = np.array([p.score for p in proto.pieces])
         self.rank = np.append(np.unique(-scores, return_inverse=True)[1].astype(np.int32), NONE)  # [-1]: no piece
         self.of_char = np.full(0x110000, -1, np.int32)
@@ -148,16 +151,17 @@ class PieceModel:
 
     def pieces_text(self, ids: list[int]) -> str:
         """Text of ids before the dummy prefix goes; bytes that are no UTF-8 read as U+FFFD each."""
+        if not self.bytes.intersection(ids):
+            return "".join([self.plain[i] for i in ids])
         out, run = [], bytearray()
         for i in [*ids, -1]:
-            p = self.pieces[i] if i >= 0 else ""
-            if i >= 0 and self.byte_ids[0] <= i <= self.byte_ids[255]:
-                run.append(int(p[1:-1], 16))
+            if i in self.bytes:
+                run.append(int(self.pieces[i][1:-1], 16))
                 continue
             if run:
                 out.append(_utf8(bytes(run)))
                 run.clear()
-            out.append(" " if p == SPACE_MARK else "" if i in (1, 2) else " ⁇ " if i == 0 else p.replace(SPACE_MARK, " "))
+            out.append(self.plain[i] if i >= 0 else "")
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -202,7 +206,7 @@ def _entries(model: PieceModel, path: str, texts: list[str]) -> tuple[list[list[
         cache.clear()
         new = list({w for x in cut for w in x})
     for w, ids in zip(new, model.encode_words(new), strict=True):
-        cache[w] = (",".join(map(str, ids)), len(ids), model.pieces_text(ids))
+        cache[w] = (",".join([model.number[i] for i in ids]), len(ids), model.pieces_text(ids))
     return cut, cache
 
 

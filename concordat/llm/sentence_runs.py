@@ -129,7 +129,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             known = b.filter(b.column("keys").is_null())
             if known.num_rows:
                 yield known.select(["doc_id", "first", "stop"])
-            held.append(b.filter(b.column("keys").is_valid()).select(["keys", "ids"]))
+            held.append(b.filter(b.column("keys").is_valid()).select(["bucket", "keys", "ids"]))
         keys, ids = read_blobs(held, 2)
         doc, start, stop = ids[:, 0], ids[:, 1] >> 32, (ids[:, 1] >> 32) + (ids[:, 1] & 0xFFFFFFFF)
         order, later = _later(keys, doc, start)

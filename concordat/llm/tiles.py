@@ -13,7 +13,7 @@ from .common import shuffle_parts
 def tile_rows(near: DataFrame, payload: DataFrame, columns: list[str], block_rows: int) -> DataFrame:
     """Rows (grp, i, j, block, node, columns) of all tiles, sorted by tile within partitions.
 
-    ``near`` has (node, root); ``payload`` one row a node. A group of more than ``block_rows``
+    ``near`` has (node, root); ``payload`` rows of nodes, equal where a node repeats. A group of more than ``block_rows``
     nodes is cut into row blocks and each pair of blocks is a tile.
     """
     many = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
