@@ -36,6 +36,12 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file(spark), with_ids=False)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan_secrets
+
+    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op7_sentence_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document that loses sentences: how many spans, and the spans themselves."""
     from .sentence_runs import repeated_spans
@@ -52,12 +58,20 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.vec_id % 100 == 0, k=10)
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import scan_licences
+
+    return scan_licences(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fuzzy_lines": op1_fuzzy_lines,
     "op2_ngram_join": op2_ngram_join,
     "op3_pieces": op3_pieces,
+    "op6_secrets": op6_secrets,
     "op7_sentence_runs": op7_sentence_runs,
     "op8_nearest": op8_nearest,
+    "op10_licences": op10_licences,
 }
 
 ORACLE_SQL: dict[str, str] = {
