@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 CHUNK = 2 << 20
+EDGES_PER_TASK = 250_000
 
 
 # --- session -------------------------------------------------------------------------------
@@ -44,6 +46,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps that nothing refers to any more; else
+    they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -242,20 +251,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternating large-star and small-star steps over DataFrames. Minima are taken by aggregation
     and joined back, so that a node of any degree never has to fit in one task.
     """
-    e = cut(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    mark = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    was = mark(e)
+    parts = shuffle_parts(edges.sparkSession)
+
+    def settled(rows: DataFrame) -> tuple[DataFrame, tuple]:
+        """Checkpointed edges in as many partitions as their number calls for, and their digest."""
+        rows = cut(rows)
+        mark = tuple(rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+        return rows.coalesce(min(parts, 1 + mark[0] // EDGES_PER_TASK)), mark
+
+    e, was = settled(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     while was[0]:
-        both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        few = min(parts, 1 + 2 * was[0] // EDGES_PER_TASK)
+        both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(few)
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(few)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        e = cut(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
-        now = mark(e)
+        e, now = settled(small.unionAll(low.select("u", F.col("m").alias("v"))).coalesce(few).distinct())
         if now == was:
             break
         was = now
+    release(edges.sparkSession)
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)
 

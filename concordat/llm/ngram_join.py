@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, ship, shuffle_parts, text_chunks, words
+from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
 TILE_ROWS = 2048
@@ -237,6 +237,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
     near = cut(near)
+    release(spark)
     bits = spark.sparkContext.broadcast(key_filter(near, "node"))
 
     def sets_of(batches):
