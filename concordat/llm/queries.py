@@ -36,6 +36,14 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file(spark), with_ids=False)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, score_toxicity
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    scored = score_toxicity(docs, labels, ~held_out(F.col("doc_id")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan_secrets
 
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fuzzy_lines": op1_fuzzy_lines,
     "op2_ngram_join": op2_ngram_join,
     "op3_pieces": op3_pieces,
+    "op4_toxicity": op4_toxicity,
     "op6_secrets": op6_secrets,
     "op7_sentence_runs": op7_sentence_runs,
     "op8_nearest": op8_nearest,
