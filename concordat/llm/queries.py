@@ -66,6 +66,14 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.vec_id % 100 == 0, k=10)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and item of the benchmark that it holds."""
+    from .decontaminate import leaks
+
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return leaks(docs, items)
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licences import scan_licences
 
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_sentence_runs": op7_sentence_runs,
     "op8_nearest": op8_nearest,
+    "op9_decontaminate": op9_decontaminate,
     "op10_licences": op10_licences,
 }
 

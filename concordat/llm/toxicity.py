@@ -21,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,8 +114,7 @@ class Restorer:
 
 def features(texts: pa.Array):
     """For runs of rows: first row, end row, row of each word, feature hashes (words by kinds)."""
-    for first, end, data, offsets in text_chunks(texts):
-        low = LOWER[data]
+    for first, end, low, offsets in text_chunks(pc.utf8_lower(texts)):
         start, stop, row = spans(_LETTER[low], offsets)
         kinds = [span_hashes(low, start, stop)]
         for n in (4, 5, 6, 7):
