@@ -38,11 +38,19 @@ def ship(spark: SparkSession) -> None:
     sc._concordat_shipped = True
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names, else one of our own."""
+    sc = spark.sparkContext
+    folder = sc._jsc.sc().getCheckpointDir()
+    if folder.isEmpty():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordat-ckpt"))
+        folder = sc._jsc.sc().getCheckpointDir()
+    return folder.get()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder that the session names, else in one of our own."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordat-ckpt"))
+    """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

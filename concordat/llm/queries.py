@@ -44,6 +44,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .private_data import scan_private
+
+    return scan_private(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan_secrets
 
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op3_pieces": op3_pieces,
     "op4_toxicity": op4_toxicity,
+    "op5_private_data": op5_private_data,
     "op6_secrets": op6_secrets,
     "op7_sentence_runs": op7_sentence_runs,
     "op8_nearest": op8_nearest,
