@@ -1 +1 @@
-
+"""Queries over named tables, with the SQL that checks each."""
