@@ -240,7 +240,10 @@ def reconciled(length: int, starts: list[int], tags: np.ndarray) -> list[tuple[s
 
 def fit(texts: DataFrame, sample: int = SAMPLE) -> dict | None:
     """The network, from base spans of ``sample`` texts: those with a digit or @ of the smallest hash."""
-    rows = texts.where(F.col("__text").rlike("[0-9@]")).select(F.xxhash64("__text").alias("h"), F.col("__text").alias("t")).dropDuplicates(["h"]).orderBy("h").limit(sample)
+    h = F.xxhash64("__text").alias("h")
+    some = texts.where(F.col("__text").rlike("[0-9@]"))
+    chosen = some.select(h).distinct().orderBy("h").limit(sample)  # hashes alone are shuffled
+    rows = some.select(h, F.col("__text").alias("t")).join(F.broadcast(chosen), "h").dropDuplicates(["h"])
 
     def windows(batches):
         for b in batches:
