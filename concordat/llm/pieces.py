@@ -23,7 +23,7 @@ from .common import ship, strings
 
 SPACE_MARK = "▁"
 NONE = np.int32(1 << 30)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000  # of a task; Python workers outlive their tasks, so nothing more is kept
 
 
 class PieceModel:
@@ -188,7 +188,6 @@ def _utf8(raw: bytes) -> str:
 
 
 _models: dict[str, PieceModel] = {}
-_cache: dict[str, dict[str, tuple[str, int, str]]] = {}
 
 
 def load(path: str) -> PieceModel:
@@ -198,8 +197,8 @@ def load(path: str) -> PieceModel:
     return _models[path]
 
 
-def _entries(model: PieceModel, path: str, texts: list[str]) -> tuple[list[list[str]], dict]:
-    cache = _cache.setdefault(path, {})
+def _entries(model: PieceModel, cache: dict[str, tuple[str, int, str]], texts: list[str]) -> list[list[str]]:
+    """The words of texts, all of which ``cache`` then holds."""
     cut = [model.split(t) for t in texts]
     new = list(dict.fromkeys(w for x in cut for w in x if w not in cache)) if cut else []
     if len(cache) + len(new) > CACHE_WORDS:
@@ -207,7 +206,7 @@ def _entries(model: PieceModel, path: str, texts: list[str]) -> tuple[list[list[
         new = list({w for x in cut for w in x})
     for w, ids in zip(new, model.encode_words(new), strict=True):
         cache[w] = (",".join([model.number[i] for i in ids]), len(ids), model.pieces_text(ids))
-    return cut, cache
+    return cut
 
 
 def encode_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True) -> DataFrame:
@@ -222,7 +221,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[st
     schema += ", n_tokens long, " + ("token_ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string")
 
     def run(batches):
-        model = load(path)
+        model, cache = load(path), {}
         for b in batches:
             texts = strings(b.column("__text"))
             counts, first, second = [], [], []
@@ -232,8 +231,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[st
                 while end < len(texts) and (end == at or size + len(texts[end]) <= 2_000_000):
                     size += len(texts[end])
                     end += 1
-                cut, cache = _entries(model, path, texts[at:end])
-                for x in cut:
+                for x in _entries(model, cache, texts[at:end]):
                     found = [cache[w] for w in x]
                     csv, plain = ",".join([e[0] for e in found]), "".join([e[2] for e in found])[1:]
                     counts.append(sum([e[1] for e in found]))

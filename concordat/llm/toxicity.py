@@ -103,7 +103,7 @@ class Restorer:
         raw = m[0]
         core = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", raw) if not raw[-1].isalnum() or not raw[0].isalnum() else raw
         if raw not in self.seen:
-            if len(self.seen) > 200_000:
+            if len(self.seen) > 50_000:
                 self.seen.clear()
             self.seen[raw] = self.model.restore(core)
         return self.seen[raw]
