@@ -2,7 +2,8 @@
 
 1. Every text becomes its set of distinct word n-grams (64-bit hashes). Equal sets are one node.
 2. Two sets that link differ in a bounded number of n-grams, a bound that follows from their sizes.
-   The n-gram columns are dealt into more bands than that, so a linked pair agrees on a whole band:
+   Of sets of up to ``SMALL`` n-grams the rarest ones, as many as that bound leaves, are the keys:
+   linked sets share one. Of larger sets the n-gram columns are dealt into more bands than that, so a linked pair agrees on a whole band:
    only rows that share a band have to be multiplied. Band keys meet in buckets, where each yields
    star edges only; their components are the row groups of the product.
 3. Each row group is multiplied, X times X transposed, in tiles of row blocks and over blocks of
@@ -22,12 +23,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
+SMALL = 96
 TILE_ROWS = 2048
 COLUMN_BLOCK = 4096
 
@@ -79,8 +81,9 @@ class Bands:
             differ = 2 * most * (self.den - self.num) // (self.den + self.num)
             spare = 0
             if differ:  # bands that may be empty in either set, and so agree without telling anything
-                empty = (differ + 1) * math.exp(-least * self.num / self.den / (differ + 1))
-                spare = math.ceil(empty + 2 * math.sqrt(empty)) if empty > 0.02 else 0
+                for _ in range(3):
+                    empty = (differ + 1 + spare) * math.exp(-least / (differ + 1 + spare))
+                    spare = math.ceil(empty + 6 * math.sqrt(empty))
             self.bands.append(differ + 1 + spare if differ else 0)
             self.spare.append(spare)
 
@@ -199,7 +202,10 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             ids = b.column("doc_id")
             for first, end, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                yield pa.RecordBatch.from_arrays([ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes))], names=["doc_id", "n_shingles", "node"])
+                small = (sizes > 0) & (sizes <= SMALL)
+                ends = np.cumsum(np.where(small, sizes, 0))
+                few = pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends]), pa.array(grams[np.repeat(small, sizes)].view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes)), few], names=["doc_id", "n_shingles", "node", "grams"])
 
     def band_keys(batches):
         bands = Bands(num, den)
@@ -210,7 +216,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 node = set_keys(grams, sizes)
                 fresh = np.zeros(len(node), bool)  # copies within a batch send their keys once
                 for k, x in enumerate(node.tolist()):
-                    if sizes[k] and x not in known:
+                    if sizes[k] * den > SMALL * num and x not in known:
                         known.add(x)
                         fresh[k] = True
                 grams, node, sizes = grams[np.repeat(fresh, sizes)], node[fresh], sizes[fresh]
@@ -221,9 +227,10 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 keys, nodes = np.concatenate(keys), np.concatenate(nodes)
                 yield bucket_blobs(keys, nodes, buckets)
 
-    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long"))
-    # a node's copies in different batches meet at its own key; star edges leave them out
-    near = components(bucket_edges(src.mapInArrow(band_keys, BUCKETS_SCHEMA)))
+    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, grams array<long>"))
+    edges = bucket_edges(src.mapInArrow(band_keys, BUCKETS_SCHEMA)).unionAll(prefix_edges(table, num, den))
+    table = table.drop("grams")
+    near = components(edges)
     if not near.take(1):
         linked = near.limit(0)
     else:
@@ -234,6 +241,20 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return joined.join(least, "k", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
+def prefix_edges(table: DataFrame, num: int, den: int) -> DataFrame:
+    """Star edges between small sets that share one of their rarest n-grams.
+
+    A link needs num / den of either set, so that of each set's n-grams in any one order, the rarest
+    first, the first n - ceil(n * num / den) + 1 must share one.
+    """
+    each = table.where(F.size("grams") > 0).select("node", F.col("n_shingles").alias("n"), F.explode("grams").alias("gram")).distinct()
+    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "gram"))  # SMALL rows a node at most
+    first = each.join(known, "gram").withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).where("df > 1")
+    lead = first.groupBy("gram").agg(F.min("node").alias("b"))
+    return first.join(lead, "gram").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
     near = cut(near)

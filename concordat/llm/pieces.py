@@ -197,15 +197,16 @@ def load(path: str) -> PieceModel:
     return _models[path]
 
 
-def _entries(model: PieceModel, cache: dict[str, tuple[str, int, str]], texts: list[str]) -> list[list[str]]:
-    """The words of texts, all of which ``cache`` then holds."""
+def _entries(model: PieceModel, cache: dict, texts: list[str], raw: bool = False) -> list[list[str]]:
+    """The words of texts, all of which ``cache`` then holds: ids as text, or raw as 32-bit numbers,
+    how many they are, and their text."""
     cut = [model.split(t) for t in texts]
     new = list(dict.fromkeys(w for x in cut for w in x if w not in cache)) if cut else []
     if len(cache) + len(new) > CACHE_WORDS:
         cache.clear()
         new = list({w for x in cut for w in x})
     for w, ids in zip(new, model.encode_words(new), strict=True):
-        cache[w] = (",".join([model.number[i] for i in ids]), len(ids), model.pieces_text(ids))
+        cache[w] = (np.array(ids, np.int32).tobytes() if raw else ",".join([model.number[i] for i in ids]), len(ids), model.pieces_text(ids))
     return cut
 
 
@@ -224,28 +225,27 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[st
         model, cache = load(path), {}
         for b in batches:
             texts = strings(b.column("__text"))
-            counts, first, second = [], [], []
             at = 0
             while at < len(texts):  # about 2 million characters at once, whole texts
                 end, size = at, 0
                 while end < len(texts) and (end == at or size + len(texts[end]) <= 2_000_000):
                     size += len(texts[end])
                     end += 1
-                for x in _entries(model, cache, texts[at:end]):
+                counts, first, second = [], [], []
+                for x in _entries(model, cache, texts[at:end], with_ids):
                     found = [cache[w] for w in x]
-                    csv, plain = ",".join([e[0] for e in found]), "".join([e[2] for e in found])[1:]
+                    ids, plain = (b"" if with_ids else ",").join([e[0] for e in found]), "".join([e[2] for e in found])[1:]
                     counts.append(sum([e[1] for e in found]))
-                    if with_ids:
-                        first.append([int(i) for i in csv.split(",")] if csv else [])
-                        second.append(plain)
-                    else:
-                        first.append(hashlib.sha256(csv.encode()).hexdigest())
-                        second.append(hashlib.sha256(plain.encode()).hexdigest())
+                    first.append(ids if with_ids else hashlib.sha256(ids.encode()).hexdigest())
+                    second.append(plain if with_ids else hashlib.sha256(plain.encode()).hexdigest())
+                if with_ids:
+                    flat = pa.array(np.frombuffer(b"".join(first), np.int32))
+                    column = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), flat)
+                else:
+                    column = pa.array(first, pa.string())
+                cols = [b.column(i).slice(at, end - at) for i in range(b.num_columns - 1)]
+                names = [*b.schema.names[:-1], "n_tokens", *(("token_ids", "decoded") if with_ids else ("ids_sha256", "decoded_sha256"))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64()), column, pa.array(second, pa.string())], names=names)
                 at = end
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
-            kinds = (pa.list_(pa.int32()), pa.string()) if with_ids else (pa.string(), pa.string())
-            cols += [pa.array(counts, pa.int64()), pa.array(first, kinds[0]), pa.array(second, kinds[1])]
-            names = [*b.schema.names[:-1], "n_tokens", *(("token_ids", "decoded") if with_ids else ("ids_sha256", "decoded_sha256"))]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return src.mapInArrow(run, schema)
