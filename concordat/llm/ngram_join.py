@@ -5,7 +5,7 @@
    Of sets of up to ``SMALL`` n-grams the rarest ones, as many as that bound leaves, are the keys:
    linked sets share one. Of larger sets the n-gram columns are dealt into more bands than that, so a linked pair agrees on a whole band:
    only rows that share a band have to be multiplied. Band keys meet in buckets, where each yields
-   star edges only; their components are the row groups of the product.
+   star edges only, from which the row groups of the product are made.
 3. Each row group is multiplied, X times X transposed, in tiles of row blocks and over blocks of
    columns. Overlap counts accumulate; a pair is discarded as soon as its count and what is left
    of the columns can't reach the bound that its sizes give. A tile returns a spanning forest of
@@ -230,11 +230,9 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, grams array<long>"))
     edges = bucket_edges(src.mapInArrow(band_keys, BUCKETS_SCHEMA)).unionAll(prefix_edges(table, num, den))
     table = table.drop("grams")
-    near = components(edges)
-    if not near.take(1):
-        linked = near.limit(0)
-    else:
-        linked = _verified(spark, src, table, near, n, num, den, block_rows)
+    edges = cut(edges.distinct())
+    release(spark)
+    linked = _verified(spark, src, _row_groups(edges, 2 * block_rows), n, num, den, block_rows)
     joined = table.join(linked, "node", "left").withColumn("k", F.coalesce("root", "node"))
     least = joined.where("n_shingles > 0").groupBy("k").agg(F.min("doc_id").alias("least"))
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
@@ -255,10 +253,24 @@ def prefix_edges(table: DataFrame, num: int, den: int) -> DataFrame:
     return first.join(lead, "gram").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def _verified(spark, src: DataFrame, table: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
+def _row_groups(edges: DataFrame, most: int) -> DataFrame:
+    """(node, root): groups such that nodes which share a key share a group.
+
+    Components of the star edges, where these hold up to ``most`` nodes. Passages that many texts
+    share chain larger ones together; there, each key's leader has a group of the nodes that share
+    a key which it leads, so that a node is in as many groups as its keys have leaders.
+    """
+    near = cut(components(edges))
+    size = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    whole = near.join(size, "root")
+    large = whole.where(F.col("members") > most).select(F.col("node").alias("a"))
+    star = edges.join(large, "a").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    heads = star.select("root").distinct().select(F.col("root").alias("node"), "root")
+    return cut(whole.where(F.col("members") <= most).select("node", "root").unionAll(star).unionAll(heads))
+
+
+def _verified(spark, src: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
-    near = cut(near)
-    release(spark)
     bits = spark.sparkContext.broadcast(key_filter(near, "node"))
 
     def sets_of(batches):
