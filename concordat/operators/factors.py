@@ -34,6 +34,7 @@ def settle_precise(rows: DataFrame, key: list[str], amount: str, order: list[str
         for pdf in it:
             kept, lost = [], []
             for xs in pdf["xs"]:
+                xs = [float(x) for x in xs]
                 at = xs[0]
                 for x in xs[1:]:
                     if at is None or (abs(max(at, x, key=abs)) / abs(min(at, x, key=abs)) - 1 > TOLERANCE if at and x and (at > 0) == (x > 0) else at != x):
