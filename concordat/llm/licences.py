@@ -134,7 +134,8 @@ def notice_labels(words: np.ndarray, index: Index, idf: np.ndarray) -> tuple[set
         part = words[first:last]
         if any(len(places(part, np.zeros(len(part), np.int64), k)) for k in index.keys[n]):
             labels.add(index.labels[n])
-            best = max(best, min(1.0, top[0] / mass))
+            there = [w for q, w in enumerate(index.texts[n]) if w in words[max(0, top[1] + q) : max(0, top[2] + q + 1)]]
+            best = max(best, min(1.0, sum(idf[w] for w in there) / mass))
     return labels, best
 
 
