@@ -181,8 +181,8 @@ def bucket_blobs(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBa
     order = np.argsort(keys)
     keys, wide = keys[order], (ids if ids.ndim == 2 else ids[:, None])[order]
     bucket = ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
-    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.r_[edges[1:], len(bucket)]
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+    ends = np.r_[edges[1:], len(bucket)][: len(edges)]
     low = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
     return pa.RecordBatch.from_arrays(
         [
