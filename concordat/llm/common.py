@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 EDGES_PER_TASK = 250_000
 
 
