@@ -1,11 +1,12 @@
 """Exact n-gram Jaccard join: a blocked sparse product of the document by n-gram incidence.
 
 1. Every text becomes its set of distinct word n-grams (64-bit hashes). Equal sets are one node.
-2. Two sets that link differ in a bounded number of n-grams, a bound that follows from their sizes.
-   Of sets of up to ``SMALL`` n-grams the rarest ones, as many as that bound leaves, are the keys:
-   linked sets share one. Of larger sets the n-gram columns are dealt into more bands than that, so a linked pair agrees on a whole band:
-   only rows that share a band have to be multiplied. Band keys meet in buckets, where each yields
-   star edges only, from which the row groups of the product are made.
+2. A link needs num / den of either set, so that of each set's n-grams, in any one order, the first
+   n - ceil(n * num / den) + 1 must share one. These are the keys. The order puts n-grams first that
+   few documents hold, by counts in a table of fixed size, so that passages which many texts share
+   are keys only of texts that hold little else. Collisions in the table change the order and so the
+   work, never the result. Keys meet in buckets, where each yields star edges only, from which the
+   row groups of the product are made.
 3. Each row group is multiplied, X times X transposed, in tiles of row blocks and over blocks of
    columns. Overlap counts accumulate; a pair is discarded as soon as its count and what is left
    of the columns can't reach the bound that its sizes give. A tile returns a spanning forest of
@@ -19,17 +20,18 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
-SMALL = 96
+SLOTS = 1 << 20  # counters of the order: 4 MB on the driver and in each worker, whatever the data
+SLOT_BLOCK = 1 << 12
 TILE_ROWS = 2048
 COLUMN_BLOCK = 4096
 
@@ -68,58 +70,36 @@ def set_keys(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return mix(out + sizes.astype(U64)).view(np.int64)
 
 
-class Bands:
-    """How many bands the sizes of a class need, for a link at ``num / den`` or more."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den, self.low, self.bands, self.spare = num, den, [1], [], []
-
-    def _grow(self, size: int) -> None:
-        while len(self.bands) < 2 or self.low[len(self.bands) - 2] <= size:
-            self.low.append(self.low[-1] * self.den // self.num + 1)
-            least, most = self.low[len(self.bands)], self.low[len(self.bands) + 1] - 1
-            differ = 2 * most * (self.den - self.num) // (self.den + self.num)
-            spare = 0
-            if differ:  # bands that may be empty in either set, and so agree without telling anything
-                for _ in range(3):
-                    empty = (differ + 1 + spare) * math.exp(-least / (differ + 1 + spare))
-                    spare = math.ceil(empty + 6 * math.sqrt(empty))
-            self.bands.append(differ + 1 + spare if differ else 0)
-            self.spare.append(spare)
-
-    def keys(self, grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Band keys of all rows and the row of each. Pairs that link share one at least.
-
-        A row of size class c deals its n-grams by class c and, as the smaller of a pair, by c + 1.
-        """
-        self._grow(int(sizes.max(initial=0)))
-        own = np.searchsorted(self.low, sizes, "right") - 1
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        low, high = mix(grams ^ U64(0x5851F42D4C957F2D)), mix(grams ^ U64(0x14057B7EF767814F))
-        out_k, out_r = [], []
-        for step in (0, 1):
-            level = own + step
-            count = np.where(sizes > 0, np.array(self.bands, np.int64)[np.minimum(level, len(self.bands) - 1)], 0)
-            base = np.cumsum(count) - count
-            cells = int(count.sum())
-            if not cells:
-                continue
-            band = ((grams >> U64(32)) * count[owner].astype(U64)) >> U64(32)
-            cell = base[owner] + band.astype(np.int64)
-            live = count[owner] > 0
-            cell = cell[live]
-            filled = np.bincount(cell, minlength=cells) > 0
-            half = lambda x, w=cell, m=cells: np.bincount(w, (x[live] & U64(0xFFFFFFFF)).astype(np.float64), m).astype(U64)
-            row = np.repeat(np.arange(len(sizes)), count)
-            number = np.arange(cells) - base[row]
-            key = mix(half(low) ^ mix(half(high) + level[row].astype(U64) * U64(1 << 32) + number.astype(U64)))
-            empty = np.bincount(row[~filled], minlength=len(sizes))
-            send = filled | (empty > np.array(self.spare, np.int64)[np.minimum(level, len(self.spare) - 1)])[row]
-            out_k.append(key[send])
-            out_r.append(row[send])
-        if not out_k:
-            return np.zeros(0, U64), np.zeros(0, np.int64)
-        return np.concatenate(out_k), np.concatenate(out_r)
+def slots(grams: np.ndarray) -> np.ndarray:
+    return (grams & U64(SLOTS - 1)).astype(np.int64)
+
+
+def prefix_keys(grams: np.ndarray, sizes: np.ndarray, held: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n-grams of each row in the order of (counter, hash), as many as a link may miss and
+    one more, and the row of each. Rows that link share one at least."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((held[slots(grams)], owner))  # stable, and hashes ascend within a row
+    rank = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = rank < (sizes - -(-sizes * num // den) + 1)[owner]
+    return grams[order[first]], owner[first]
+
+
+def counted(table: DataFrame) -> np.ndarray:
+    """How many documents hold the n-grams of each slot: the sum of the tasks' counters."""
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for n, x in zip(b.column("slot_block").to_pylist(), b.column("held").to_pylist(), strict=True):
+                x = np.frombuffer(zlib.decompress(x), np.uint32)
+                total[n] = total[n] + x if n in total else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["slot_block", "held"])
+
+    parts = table.where("held IS NOT NULL").select("slot_block", "held").repartition(shuffle_parts(table.sparkSession), "slot_block")
+    out = np.zeros(SLOTS, np.uint32)
+    for n, x in parts.mapInArrow(add, "slot_block int, held binary").collect():  # SLOTS counters at most
+        out[n * SLOT_BLOCK : (n + 1) * SLOT_BLOCK] = np.frombuffer(bytes(x), np.uint32)
+    return out
 
 
 def product_links(ga: np.ndarray, sa: np.ndarray, gb: np.ndarray, sb: np.ndarray, num: int, den: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -198,17 +178,27 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     buckets = 8 * shuffle_parts(spark)
 
     def nodes_of(batches):
+        held = np.zeros(SLOTS, np.uint32)
         for b in batches:
             ids = b.column("doc_id")
             for first, end, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                small = (sizes > 0) & (sizes <= SMALL)
-                ends = np.cumsum(np.where(small, sizes, 0))
-                few = pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends]), pa.array(grams[np.repeat(small, sizes)].view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes)), few], names=["doc_id", "n_shingles", "node", "grams"])
-
-    def band_keys(batches):
-        bands = Bands(num, den)
+                at, times = np.unique(slots(grams), return_counts=True)
+                held[at] += times.astype(np.uint32)
+                columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes))]
+                nothing = [pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, *nothing], names=names)
+        blocks = held.reshape(-1, SLOT_BLOCK)
+        some = np.flatnonzero(blocks.any(1))
+        nothing = [pa.nulls(len(some), pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array(some, pa.int32()), pa.array([zlib.compress(blocks[k].tobytes(), 1) for k in some], pa.binary())], names=names)
+
+    names = ["doc_id", "n_shingles", "node", "slot_block", "held"]
+    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, slot_block int, held binary"))
+    order = spark.sparkContext.broadcast(counted(table))
+    table = table.where("held IS NULL").select("doc_id", "n_shingles", "node")
+
+    def keys_of(batches):
         for b in batches:
             keys, nodes, known = [], [], set()
             for _, _, data, offsets in text_chunks(b.column("text")):
@@ -216,20 +206,17 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 node = set_keys(grams, sizes)
                 fresh = np.zeros(len(node), bool)  # copies within a batch send their keys once
                 for k, x in enumerate(node.tolist()):
-                    if sizes[k] * den > SMALL * num and x not in known:
+                    if sizes[k] and x not in known:
                         known.add(x)
                         fresh[k] = True
                 grams, node, sizes = grams[np.repeat(fresh, sizes)], node[fresh], sizes[fresh]
-                k, r = bands.keys(grams, sizes)
+                k, r = prefix_keys(grams, sizes, order.value, num, den)
                 keys.append(k)
                 nodes.append(node[r])
             if keys:
-                keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-                yield bucket_blobs(keys, nodes, buckets)
+                yield bucket_blobs(np.concatenate(keys), np.concatenate(nodes), buckets)
 
-    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, grams array<long>"))
-    edges = bucket_edges(src.mapInArrow(band_keys, BUCKETS_SCHEMA)).unionAll(prefix_edges(table, num, den))
-    table = table.drop("grams")
+    edges = bucket_edges(src.mapInArrow(keys_of, BUCKETS_SCHEMA))
     edges = cut(edges.distinct())
     release(spark)
     linked = _verified(spark, src, _row_groups(edges, 2 * block_rows), n, num, den, block_rows)
@@ -239,20 +226,6 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return joined.join(least, "k", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def prefix_edges(table: DataFrame, num: int, den: int) -> DataFrame:
-    """Star edges between small sets that share one of their rarest n-grams.
-
-    A link needs num / den of either set, so that of each set's n-grams in any one order, the rarest
-    first, the first n - ceil(n * num / den) + 1 must share one.
-    """
-    each = table.where(F.size("grams") > 0).select("node", F.col("n_shingles").alias("n"), F.explode("grams").alias("gram")).distinct()
-    known = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "gram"))  # SMALL rows a node at most
-    first = each.join(known, "gram").withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).where("df > 1")
-    lead = first.groupBy("gram").agg(F.min("node").alias("b"))
-    return first.join(lead, "gram").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
 def _row_groups(edges: DataFrame, most: int) -> DataFrame:
     """(node, root): groups such that nodes which share a key share a group.
 
