@@ -238,12 +238,12 @@ def edges_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def bucket_edges(blobs: DataFrame) -> DataFrame:
+def bucket_edges(blobs: DataFrame, of=star_edges) -> DataFrame:
     """Star edges (a, b) between ids that share a key; every bucket is read by one task."""
 
     def run(batches):
         keys, ids = read_blobs(batches)
-        a, b = star_edges(keys, ids[:, 0])
+        a, b = of(keys, np.ascontiguousarray(ids[:, 0]))
         yield edges_batch(a, b)
 
     parts = shuffle_parts(blobs.sparkSession)

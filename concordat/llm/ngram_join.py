@@ -5,8 +5,8 @@
    n - ceil(n * num / den) + 1 must share one. These are the keys. The order puts n-grams first that
    few documents hold, by counts in a table of fixed size, so that passages which many texts share
    are keys only of texts that hold little else. Collisions in the table change the order and so the
-   work, never the result. Keys meet in buckets, where each yields star edges only, from which the
-   row groups of the product are made.
+   work, never the result. Keys meet in buckets, where each yields star edges only, by pairs of
+   neighbouring size classes; from these the row groups of the product are made.
 3. Each row group is multiplied, X times X transposed, in tiles of row blocks and over blocks of
    columns. Overlap counts accumulate; a pair is discarded as soon as its count and what is left
    of the columns can't reach the bound that its sizes give. A tile returns a spanning forest of
@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
+from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
 SLOTS = 1 << 20  # counters of the order: 4 MB on the driver and in each worker, whatever the data
 SLOT_BLOCK = 1 << 12
 TILE_ROWS = 2048
 COLUMN_BLOCK = 4096
+GRAM_BYTES = 6  # of each hash that a tile reads: unequal n-grams of two sets agree about once in 10^14 pairs
 
 
 def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,13 +62,34 @@ def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarra
     return out[new], np.bincount(owner[new], minlength=rows)
 
 
-def set_keys(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """One hash of each whole set, as a signed long."""
+def size_classes(num: int, den: int) -> np.ndarray:
+    """The least size of each class: sizes two classes apart can't link. The last one has no end."""
+    low = [1]
+    while len(low) < 64:
+        low.append(low[-1] * den // num + 1)
+    return np.array([x for x in low if x < 1 << 62], np.int64)
+
+
+def set_keys(grams: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """One hash of each whole set, as a signed long: 6 bits of size class, 58 of hash."""
     some = sizes > 0
     out = np.zeros(len(sizes), U64)
     if len(grams):
         out[some] = np.add.reduceat(mix(grams), (np.cumsum(sizes) - sizes)[some])
-    return mix(out + sizes.astype(U64)).view(np.int64)
+    level = np.maximum(np.searchsorted(low, sizes, "right") - 1, 0).astype(U64)
+    return (level << U64(58) | mix(out + sizes.astype(U64)) >> U64(6)).view(np.int64)
+
+
+def class_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every key and pair of neighbouring size classes, an edge from each node to the smallest."""
+    level = (nodes.view(U64) >> U64(58)).astype(np.int64)
+    keys, upper, nodes = np.r_[keys, keys], np.r_[level, level + 1], np.r_[nodes, nodes]
+    order = np.lexsort((nodes, upper, keys))
+    keys, upper, nodes = keys[order], upper[order], nodes[order]
+    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (upper[1:] != upper[:-1])][: len(keys)])
+    least = np.repeat(nodes[first], np.diff(np.r_[first, len(keys)]))
+    keep = nodes != least
+    return distinct_pairs(nodes[keep], least[keep])
 
 
 def slots(grams: np.ndarray) -> np.ndarray:
@@ -157,11 +179,17 @@ def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(keep, np.int64)
 
 
+def wide(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // GRAM_BYTES, 8), np.uint8)
+    out[:, :GRAM_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, GRAM_BYTES)
+    return out.view(U64)[:, 0]
+
+
 def tile_links(left: list, right: list, same: bool, num: int, den: int) -> pa.RecordBatch | None:
     """Spanning links of one tile of rows (node, n-gram hashes)."""
     part = []
     for rows in (left, right):
-        sets = [np.frombuffer(r[1], U64) for r in rows]
+        sets = [wide(r[1]) for r in rows]
         part.append((np.array([r[0] for r in rows], np.int64), np.concatenate(sets), np.array([len(x) for x in sets], np.int64)))
     (na, ga, sa), (nb, gb, sb) = part
     x, y = product_links(ga, sa, gb, sb, num, den, same)
@@ -175,7 +203,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    buckets = 8 * shuffle_parts(spark)
+    buckets, low = 8 * shuffle_parts(spark), size_classes(num, den)
 
     def nodes_of(batches):
         held = np.zeros(SLOTS, np.uint32)
@@ -185,7 +213,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 grams, sizes = ngram_sets(data, offsets, n)
                 at, times = np.unique(slots(grams), return_counts=True)
                 held[at] += times.astype(np.uint32)
-                columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes))]
+                columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes, low))]
                 nothing = [pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*columns, *nothing], names=names)
         blocks = held.reshape(-1, SLOT_BLOCK)
@@ -203,7 +231,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             keys, nodes, known = [], [], set()
             for _, _, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                node = set_keys(grams, sizes)
+                node = set_keys(grams, sizes, low)
                 fresh = np.zeros(len(node), bool)  # copies within a batch send their keys once
                 for k, x in enumerate(node.tolist()):
                     if sizes[k] and x not in known:
@@ -216,7 +244,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             if keys:
                 yield bucket_blobs(np.concatenate(keys), np.concatenate(nodes), buckets)
 
-    edges = bucket_edges(src.mapInArrow(keys_of, BUCKETS_SCHEMA))
+    edges = bucket_edges(src.mapInArrow(keys_of, BUCKETS_SCHEMA), class_edges)
     edges = cut(edges.distinct())
     release(spark)
     linked = _verified(spark, src, _row_groups(edges, 2 * block_rows), n, num, den, block_rows)
@@ -244,17 +272,17 @@ def _row_groups(edges: DataFrame, most: int) -> DataFrame:
 
 def _verified(spark, src: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
     """Components of the true links among the nodes of the row groups."""
-    bits = spark.sparkContext.broadcast(key_filter(near, "node"))
+    bits, low = spark.sparkContext.broadcast(key_filter(near, "node")), size_classes(num, den)
 
     def sets_of(batches):
         for b in batches:
             for _, _, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                node = set_keys(grams, sizes)
-                ends = np.cumsum(sizes)
+                node = set_keys(grams, sizes, low)
+                ends, few = np.cumsum(sizes), grams.view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
                 some = np.flatnonzero(in_filter(bits.value, node) & (sizes > 0))
                 some = some[np.unique(node[some], return_index=True)[1]]
-                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([grams[ends[k] - sizes[k] : ends[k]].tobytes() for k in some], pa.binary())], names=["node", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([few[ends[k] - sizes[k] : ends[k]].tobytes() for k in some], pa.binary())], names=["node", "grams"])
 
     sets = src.mapInArrow(sets_of, "node long, grams binary")
     tiles = tile_rows(near, sets, ["grams"], block_rows)
