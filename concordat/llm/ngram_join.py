@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
-SLOTS = 1 << 20  # counters of the order: 4 MB on the driver and in each worker, whatever the data
-SLOT_BLOCK = 1 << 12
+SLOTS = 1 << 24  # counters of the order: 16 MB on the driver and in each worker, whatever the data
+SLOT_BLOCK = 1 << 16
+LEVELS = 16  # of each doubling of a counter: the order takes a byte of each
 TILE_ROWS = 2048
 COLUMN_BLOCK = 4096
 GRAM_BYTES = 6  # of each hash that a tile reads: unequal n-grams of two sets agree about once in 10^14 pairs
@@ -107,20 +108,21 @@ def prefix_keys(grams: np.ndarray, sizes: np.ndarray, held: np.ndarray, num: int
 
 
 def counted(table: DataFrame) -> np.ndarray:
-    """How many documents hold the n-grams of each slot: the sum of the tasks' counters."""
+    """How many documents hold the n-grams of each slot, as logarithms: the sum of the tasks' counters."""
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for n, x in zip(b.column("slot_block").to_pylist(), b.column("held").to_pylist(), strict=True):
-                x = np.frombuffer(zlib.decompress(x), np.uint32)
-                total[n] = total[n] + x if n in total else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["slot_block", "held"])
+                x = np.frombuffer(zlib.decompress(x), np.uint16)
+                total[n] = total[n] + x if n in total else x.astype(np.uint64)
+        levels = [np.minimum(np.rint(LEVELS * np.log2(x + 1.0)), 255).astype(np.uint8) for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in levels], pa.binary())], names=["slot_block", "held"])
 
     parts = table.where("held IS NOT NULL").select("slot_block", "held").repartition(shuffle_parts(table.sparkSession), "slot_block")
-    out = np.zeros(SLOTS, np.uint32)
-    for n, x in parts.mapInArrow(add, "slot_block int, held binary").collect():  # SLOTS counters at most
-        out[n * SLOT_BLOCK : (n + 1) * SLOT_BLOCK] = np.frombuffer(bytes(x), np.uint32)
+    out = np.zeros(SLOTS, np.uint8)
+    for n, x in parts.mapInArrow(add, "slot_block int, held binary").collect():  # SLOTS bytes at most
+        out[n * SLOT_BLOCK : (n + 1) * SLOT_BLOCK] = np.frombuffer(zlib.decompress(bytes(x)), np.uint8)
     return out
 
 
@@ -206,13 +208,13 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     buckets, low = 8 * shuffle_parts(spark), size_classes(num, den)
 
     def nodes_of(batches):
-        held = np.zeros(SLOTS, np.uint32)
+        held = np.zeros(SLOTS, np.uint16)
         for b in batches:
             ids = b.column("doc_id")
             for first, end, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
                 at, times = np.unique(slots(grams), return_counts=True)
-                held[at] += times.astype(np.uint32)
+                held[at] = np.minimum(held[at] + times, 65535)
                 columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes, low))]
                 nothing = [pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*columns, *nothing], names=names)
