@@ -249,7 +249,8 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     edges = bucket_edges(src.mapInArrow(keys_of, BUCKETS_SCHEMA), class_edges)
     edges = cut(edges.distinct())
     release(spark)
-    linked = _verified(spark, src, _row_groups(edges, 2 * block_rows), n, num, den, block_rows)
+    near = _row_groups(edges, 2 * block_rows)
+    linked = _verified(spark, src, near, _speakers(table, near), n, num, den, block_rows)
     joined = table.join(linked, "node", "left").withColumn("k", F.coalesce("root", "node"))
     least = joined.where("n_shingles > 0").groupBy("k").agg(F.min("doc_id").alias("least"))
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
@@ -272,17 +273,26 @@ def _row_groups(edges: DataFrame, most: int) -> DataFrame:
     return cut(whole.where(F.col("members") <= most).select("node", "root").unionAll(star).unionAll(heads))
 
 
-def _verified(spark, src: DataFrame, near: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
-    """Components of the true links among the nodes of the row groups."""
-    bits, low = spark.sparkContext.broadcast(key_filter(near, "node")), size_classes(num, den)
+def _speakers(table: DataFrame, near: DataFrame) -> DataFrame:
+    """(h): for each node of the row groups, its hash with the smallest id of its copies mixed in."""
+    own = F.coalesce("doc_id", F.lit(0))
+    least = table.join(near.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(own).alias("least"))
+    return least.select(F.col("node").bitwiseXOR(F.col("least")).alias("h"))
+
+
+def _verified(spark, src: DataFrame, near: DataFrame, speakers: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
+    """Components of the true links among the nodes of the row groups. Of equal sets only the
+    document of the smallest id sends its n-grams."""
+    bits, low = spark.sparkContext.broadcast(key_filter(speakers, "h")), size_classes(num, den)
 
     def sets_of(batches):
         for b in batches:
-            for _, _, data, offsets in text_chunks(b.column("text")):
+            ids = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            for first, end, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
                 node = set_keys(grams, sizes, low)
                 ends, few = np.cumsum(sizes), grams.view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
-                some = np.flatnonzero(in_filter(bits.value, node) & (sizes > 0))
+                some = np.flatnonzero(in_filter(bits.value, node ^ ids[first:end]) & (sizes > 0))
                 some = some[np.unique(node[some], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array([few[ends[k] - sizes[k] : ends[k]].tobytes() for k in some], pa.binary())], names=["node", "grams"])
 
