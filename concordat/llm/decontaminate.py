@@ -7,7 +7,9 @@
    counted over all passages; words of more than MOST of them have no weight. A randomised SVD, one sketch of A'A and one power step, each summed
    over the cluster, gives an orthonormal basis of the strongest term directions.
 3. Windows of every text, of the length that suits each class of items and moved by a quarter of
-   it, are projected and compared with the projected items by cosine.
+   it, are projected and compared with the projected items by cosine. Items of which half of the
+   words or more lack weight, as one that stands in a large part of the passages, don't rely on
+   it: they are candidates wherever ``loose`` of their words stand around a window, in any order.
 4. Candidates are verified: the longest common subsequence with the words around the window must
    hold ``strict`` of the item's words, or ``loose`` of them when the item's answer, its last
    ``ANSWER`` words, stands there too, in order and next to each other.
@@ -30,6 +32,8 @@ from .common import cut, ship, span_hashes, spans, text_chunks
 PASSAGE = 64
 RANK = 96
 MOST = 0.05  # of passages: more frequent words have no weight in the cosine
+PLAIN = 0.5  # of an item's words: with as many that lack weight, its words are counted as they stand
+COLUMNS = 1024  # words that a presence matrix of windows holds, beside those of one item
 SHORT = 5
 ANSWER = 3
 STEP = 8
@@ -196,6 +200,39 @@ def has_answer(item: np.ndarray, words: np.ndarray) -> bool:
     return bool(hit.any())
 
 
+def presence(words: np.ndarray, block: np.ndarray, inside: np.ndarray, count: np.ndarray, items: list[np.ndarray], loose: float):
+    """Windows and items, by number, of all pairs where the blocks from 2 before the window's to 5
+    after it hold ``loose`` of the item's words."""
+    own = np.repeat(count, count)
+    group, held = [], np.zeros(0, np.int64)
+    for k, item in enumerate([*items, None]):
+        both = held if item is None else np.union1d(held, item)
+        if group and (item is None or len(both) > COLUMNS):
+            column = np.zeros(int(words.max(initial=0)) + 1, np.int64)
+            known = held[held < len(column)]
+            column[known] = np.arange(1, len(known) + 1)
+            at = np.flatnonzero(column[words])
+            col, blk = column[words[at]] - 1, block[at]
+            share = np.zeros((len(held), len(group)), np.float32)
+            for j, g in enumerate(group):
+                np.add.at(share[:, j], np.searchsorted(held, items[g]), 1)
+            need = np.array([loose * len(items[g]) for g in group]) - 1e-6
+            for s in range(0, len(own), 8192):
+                e = min(len(own), s + 8192)
+                lo, hi = np.searchsorted(blk, [s - 2, e + 5])
+                there = np.zeros((e - s, len(held)), np.float32)
+                for shift in range(-5, 3):  # the windows that see a block
+                    to, place = blk[lo:hi] + shift, inside[blk[lo:hi]] + shift
+                    ok = (to >= s) & (to < e) & (place >= 0) & (place < own[blk[lo:hi]])
+                    there[to[ok] - s, col[lo:hi][ok]] = 1
+                w, j = np.nonzero(there @ share >= need)
+                yield w + s, np.array(group)[j]
+            group, both = [], item
+        if item is not None:
+            group.append(k)
+            held = np.unique(both)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", cosine: float = 0.5, strict: float = 0.75, loose: float = 0.6) -> DataFrame:
     """(doc_id, item_id, lcs, item_words, score): every document that holds an item, score being the
     share of the item's words in the longest common subsequence."""
@@ -226,6 +263,7 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
     unit = lambda m: m / np.maximum(np.sqrt((m * m).sum(1, keepdims=True)), 1e-12)
     asked = unit(np.stack([project[w - 1].sum(0) for w in items.words])).astype(np.float32)
     lengths = np.array([len(w) for w in items.words])
+    plain = np.array([(idf[w - 1] == 0).mean() for w in items.words]) >= PLAIN
     # windows of 4 blocks of STEP * 2 ** c words suit items of up to about as many words
     level = np.ceil(np.log2(np.maximum(1, lengths / (4 * STEP)))).astype(int)
     held = docs.sparkSession.sparkContext.broadcast((project.astype(np.float32), asked, items))
@@ -250,6 +288,7 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
                 mine = np.flatnonzero(level == c)
                 if not len(mine) or not len(sums):
                     continue
+                pairs = []
                 # three empty blocks after each document keep its windows to itself
                 owner = np.repeat(np.arange(len(sizes)), count)
                 blocks = np.zeros((len(sums) + 3 * len(sizes) + 3, sums.shape[1]), sums.dtype)
@@ -260,20 +299,24 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
                 ask = queries[mine].T
                 for s in range(0, len(window), 8192):
                     w, i = np.nonzero(unit(window[s : s + 8192]) @ ask >= cosine)
-                    for w, i in zip((w + s).tolist(), mine[i].tolist(), strict=True):
-                        d = int(owner[w])
-                        item = own.words[i]
-                        old = found.get((d, i), (0, 0))
-                        if old[0] >= len(item):
-                            continue
-                        size = STEP << c
-                        a, z = int(inside[w]) * size - size * 2, int(inside[w]) * size + size * 6
-                        part = words[first[d] + max(0, a) : first[d] + min(int(sizes[d]), z)]
-                        if sum(map(set(part.tolist()).__contains__, item.tolist())) < loose * len(item):
-                            continue
-                        lcs = common_subsequence(item, part)
-                        if lcs > old[0] and (lcs >= strict * len(item) or lcs >= loose * len(item) and has_answer(item, part)):
-                            found[d, i] = (lcs, len(item))
+                    pairs.append((w + s, mine[i]))
+                if len(common := mine[plain[mine]]):
+                    of = (np.arange(len(words)) - start) // (STEP << c) + np.repeat(np.cumsum(count) - count, sizes)
+                    pairs += [(w, common[i]) for w, i in presence(words, of, inside, count, [own.words[i] for i in common], loose)]
+                for w, i in ((w, i) for ws, items in pairs for w, i in zip(ws.tolist(), items.tolist(), strict=True)):
+                    d = int(owner[w])
+                    item = own.words[i]
+                    old = found.get((d, i), (0, 0))
+                    if old[0] >= len(item):
+                        continue
+                    size = STEP << c
+                    a, z = int(inside[w]) * size - size * 2, int(inside[w]) * size + size * 6
+                    part = words[first[d] + max(0, a) : first[d] + min(int(sizes[d]), z)]
+                    if sum(map(set(part.tolist()).__contains__, item.tolist())) < loose * len(item):
+                        continue
+                    lcs = common_subsequence(item, part)
+                    if lcs > old[0] and (lcs >= strict * len(item) or lcs >= loose * len(item) and has_answer(item, part)):
+                        found[d, i] = (lcs, len(item))
             keys = list(found)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -222,6 +222,25 @@ def test_decontaminate(spark, odd):
     assert decontaminate.leaks(odd, spark.createDataFrame([(1, None), (2, "a b")], "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize(("rows", "every"), [(300, 3), (300, 1), (300, 8), (300, 20), (12, 6)])
+def test_decontaminate_frequent_items(spark, rows, every):
+    """One item in a large part of all rows, or in two rows of a small table, beside rare words of
+    other items."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 7)))
+    items = [(k, " ".join(word() for _ in range(30))) for k in range(20)]
+    others = " ".join(t for _, t in items[1:]).split()
+    texts = []
+    for k in range(rows):
+        w = [word() if rng.random() < 0.8 else rng.choice(others) for _ in range(rng.randrange(20, 200))]
+        if k % every == 0:
+            at = rng.randrange(len(w))
+            w[at:at] = items[0][1].split()
+        texts.append((k, " ".join(w)))
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(k, 0): 1.0 for k in range(0, rows, every)}
+
+
 def test_licences(spark):
     mit = licences.NOTICES[0][2]
     rows = [(k, f"plain words number {k}") for k in range(40)] + [(100, "x y. " + mit), (101, "CC-BY and All rights reserved."), (102, None)]
