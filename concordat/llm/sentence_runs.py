@@ -1,7 +1,9 @@
 """Substring dedup by sentence runs.
 
-Every run of several consecutive sentences is hashed: from each sentence the fewest that follow it
+Runs of consecutive sentences are hashed: from each sentence on and up to each sentence the fewest
 with ``min_words`` words and ``min_sentences`` sentences, or a single sentence of ``2 * min_words``.
+Together they cover the whole of every longer run that repeats: its beginning and end by the run from
+its first and up to its last sentence, and what lies between by the runs up to each sentence there.
 Runs meet in buckets by hash; of each repeated run the first occurrence by (doc_id, place) stays,
 and the sentences that any other occurrence covers are removed.
 
@@ -58,7 +60,12 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, min_words: int, min_sentences
     stop = np.searchsorted(total, total[:-1] + min_words, "left")  # total[stop] - total[me] >= min_words
     stop = np.where(count >= 2 * min_words, me + 1, np.maximum(stop, me + min_sentences))
     good = stop <= after
-    me, stop = me[good], stop[good]
+    # runs up to each sentence, without those that also are the run from their first sentence
+    back = np.searchsorted(total, total[1:] - min_words, "right") - 1  # total[me + 1] - total[back] >= min_words
+    back = np.where(count >= 2 * min_words, me, np.minimum(back, me + 1 - min_sentences))
+    more = back >= np.searchsorted(srow, srow, "left")
+    more &= stop[np.maximum(back, 0)] != me + 1
+    me, stop = np.r_[me[good], back[more]], np.r_[stop[good], me[more] + 1]
     a, b = open_[me], close[stop - 1] + 1  # words
     common._powers(n + 1)
     sums = np.zeros(n + 1, U64)

@@ -190,6 +190,22 @@ def test_sentence_runs(spark):
     assert {r.doc_id: r.text for r in sentence_runs.remove_repeats(df, min_words=10).collect()}[2] == "Other text.  Tail."
 
 
+def test_sentence_runs_cover_whole_passages(spark):
+    """Whatever the lengths of its sentences, a copied passage goes as a whole."""
+    rng, count = random.Random(7), iter(range(10**6))
+    sentence = lambda n: " ".join(f"w{next(count)}" for _ in range(n)) + "."
+    rows, want = [], {}
+    for k, sizes in enumerate([(40, 10, 5), (5, 10, 40), (60, 5), (5, 60), (55,), (12, 5, 12), *([rng.choice((2, 5, 11, 24, 30, 50, 64)) for _ in range(8)] for _ in range(30))]):
+        passage = " ".join(map(sentence, sizes))
+        rows.append((2 * k, f"{sentence(9)} {passage} {sentence(9)}"))
+        head, tail = sentence(7), sentence(8)
+        rows.append((2 * k + 1, f"{head} {passage} {tail}"))
+        want[2 * k + 1] = f"{head} {tail}".split()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in sentence_runs.remove_repeats(df).collect()}
+    assert all(got[k] == t for k, t in rows if k not in want) and {k: got[k].split() for k in want} == want
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(1)
     m = rng.normal(size=(400, 8)).astype(np.float32)
