@@ -1,11 +1,12 @@
 """Licence scans by a positional index of rare tokens.
 
 The index holds the words of short licence notices with their positions. Its words get their IDF
-from the documents themselves, counted over all of them. Each text looks up its licence words of
-the highest IDF; every posting of such a word votes for the place where its notice would begin. Votes
-that agree to within ``SHIFT`` words are one alignment; the one with the most IDF of each notice is
-verified: it needs at least ``LEAST`` different rare words, and a mandatory key phrase of the notice
-must stand in the text, whole, near that place.
+from the documents themselves, counted over all of them; it is ``LOW`` at least, so that no notice
+is too frequent to be found. A notice stands only where one of its mandatory key phrases stands whole.
+Around each such place the words of the notice of the highest IDF, ``TOP`` at most, are looked up;
+every posting of such a word votes for the place where the notice would begin. Votes that agree to
+within ``SHIFT`` words are one alignment; the one with the most IDF that reaches the key phrase is
+taken, and needs at least ``LEAST`` different rare words.
 
 Words are runs of digits, ASCII letters (A-Z as a-z) and everything beyond ASCII. Base labels come
 from fixed phrases, wherever their words stand consecutively. ``score`` is the largest share of a
@@ -29,6 +30,7 @@ from .common import LOWER, ship, span_hashes, spans, text_chunks
 TOP = 12
 SHIFT = 3
 LEAST = 2
+LOW = 0.1  # IDF of words that half of the texts hold or more
 
 #: Phrases and labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -66,14 +68,15 @@ class Index:
         hashes = _hash(self.words)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
-        self.postings: dict[int, list[tuple[int, int]]] = {}
+        self.postings: list[dict[int, list[int]]] = []
         self.labels, self.keys, self.texts = [], [], []
-        for n, (label, keys, text) in enumerate(notices):
+        for label, keys, text in notices:
             self.labels.append(label)
             self.keys.append([[number[w] for w in k.split()] for k in keys])
             self.texts.append([number[w] for w in text.split()])
+            self.postings.append({})
             for at, w in enumerate(self.texts[-1]):
-                self.postings.setdefault(w, []).append((n, at))
+                self.postings[-1].setdefault(w, []).append(at)
         self.phrases = [([number[w] for w in p.split()], label) for p, label in phrases.items()]
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
@@ -94,49 +97,55 @@ def places(words: np.ndarray, row: np.ndarray, phrase: list[int]) -> np.ndarray:
     n = len(phrase)
     if len(words) < n:
         return np.zeros(0, np.int64)
-    hit = row[n - 1 :] == row[: len(row) - n + 1]
-    for k, w in enumerate(phrase):
-        hit = hit & (words[k : len(words) - n + 1 + k] == w)
-    return np.flatnonzero(hit)
-
-
-def notice_labels(words: np.ndarray, index: Index, idf: np.ndarray) -> tuple[set[str], float]:
-    """Verified labels of one text, from the numbers of all its words, and the best share of IDF."""
-    at = np.flatnonzero(words >= 0)
-    known = np.unique(words[at])
-    known = known[np.lexsort((known, -idf[known]))]
-    rare = known[idf[known] > 0][:TOP].tolist()
-    votes: dict[int, list[tuple[int, int, int]]] = {}
-    for w in rare:
-        for p in at[words[at] == w].tolist():
-            for n, q in index.postings.get(w, ()):
-                votes.setdefault(n, []).append((p - q, w, q))
-    labels, best = set(), 0.0
-    for n, found in votes.items():
-        found.sort()
-        mass = sum(idf[w] for w in index.texts[n]) or 1.0
-        top, low, live, weight = (0.0, 0, 0), 0, {}, 0.0
-        for high in range(len(found)):  # the window of origins that covers the most IDF
-            w, q = found[high][1:]
-            live[w, q] = live.get((w, q), 0) + 1
-            weight += idf[w] * (live[w, q] == 1)
-            while found[high][0] - found[low][0] > SHIFT:
-                w, q = found[low][1:]
-                live[w, q] -= 1
-                weight -= idf[w] * (live[w, q] == 0)
-                low += 1
-            different = len({x for (x, _), c in live.items() if c})
-            if different >= LEAST and weight > top[0]:
-                top = (weight, found[low][0], found[high][0])
-        if not top[0]:
-            continue
-        first, last = max(0, top[1] - SHIFT), top[2] + len(index.texts[n]) + SHIFT
-        part = words[first:last]
-        if any(len(places(part, np.zeros(len(part), np.int64), k)) for k in index.keys[n]):
-            labels.add(index.labels[n])
-            there = [w for q, w in enumerate(index.texts[n]) if w in words[max(0, top[1] + q) : max(0, top[2] + q + 1)]]
-            best = max(best, min(1.0, sum(idf[w] for w in there) / mass))
-    return labels, best
+    at = np.flatnonzero(words[: len(words) - n + 1] == phrase[0])
+    for k in range(1, n):
+        at = at[words[at + k] == phrase[k]]
+    return at[row[at] == row[at + n - 1]]
+
+
+def notice_share(words: np.ndarray, index: Index, idf: np.ndarray, n: int, key: int, size: int) -> float:
+    """Share of the notice's IDF that its best alignment around a key phrase covers, 0 if there is
+    none; ``words`` are the numbers of all words of one text, the phrase has ``size`` words from ``key``."""
+    text, postings = index.texts[n], index.postings[n]
+    # an alignment reaches the phrase if it begins at least, and at most, there
+    least, most = key + size - len(text) - SHIFT, key + SHIFT
+    start = max(0, least - SHIFT)
+    near = words[start : most + SHIFT + len(text)].tolist()
+    rare = set(sorted(postings.keys() & set(near), key=lambda w: (-idf[w], w))[:TOP])
+    found = sorted((start + p - q, w, q) for p, w in enumerate(near) if w in rare for q in postings[w] if least - SHIFT <= start + p - q <= most + SHIFT)
+    top, low, live, weight = (0.0, 0, 0), 0, {}, 0.0
+    for high in range(len(found)):  # the window of origins that covers the most IDF
+        w, q = found[high][1:]
+        live[w, q] = live.get((w, q), 0) + 1
+        weight += idf[w] * (live[w, q] == 1)
+        while found[high][0] - found[low][0] > SHIFT:
+            w, q = found[low][1:]
+            live[w, q] -= 1
+            weight -= idf[w] * (live[w, q] == 0)
+            low += 1
+        if weight > top[0] and found[low][0] <= most and found[high][0] >= least and len({x for (x, _), c in live.items() if c}) >= LEAST:
+            top = (weight, found[low][0], found[high][0])
+    if not top[0]:
+        return 0.0
+    there = [w for q, w in enumerate(text) if w in words[max(0, top[1] + q) : max(0, top[2] + q + 1)]]
+    return min(1.0, sum(idf[w] for w in there) / sum(idf[w] for w in text))
+
+
+def notice_labels(words: np.ndarray, row: np.ndarray, first: np.ndarray, per: np.ndarray, index: Index, idf: np.ndarray) -> dict[int, tuple[set[str], float]]:
+    """Verified labels, and the best share of IDF, of each row that has any."""
+    out: dict[int, tuple[set[str], float]] = {}
+    for n, keys in enumerate(index.keys):
+        best: dict[int, float] = {}
+        for phrase in keys:
+            for p in places(words, row, phrase).tolist():
+                k = int(row[p])
+                if best.get(k, 0.0) < 1:
+                    best[k] = max(best.get(k, 0.0), notice_share(words[first[k] : first[k] + per[k]], index, idf, n, p - int(first[k]), len(phrase)))
+        for k, share in best.items():
+            if share:
+                labels, most = out.get(k, (set(), 0.0))
+                out[k] = (labels | {index.labels[n]}, max(most, share))
+    return out
 
 
 def scan_licences(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -160,7 +169,7 @@ def scan_licences(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     found = {r["word"]: r["n"] for r in src.select("__text").mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     rows = found.get(-1, 0)
     size = len(Index().words)
-    idf = [max(0.0, math.log((rows + 1) / (2 * found.get(w, 0) + 1))) for w in range(size)]  # words of half the texts tell nothing
+    idf = [max(LOW, math.log((rows + 1) / (2 * found.get(w, 0) + 1))) for w in range(size)]
 
     def run(batches):
         index, weight = Index(), np.array(idf)
@@ -180,12 +189,11 @@ def scan_licences(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
                 order = np.lexsort((at,))
                 at, label = at[order], [label[k] for k in order]
                 owner = row[at]
-                some = words >= 0
-                strong = np.bincount(row[some], weight[words[some]] > 0, n) >= LEAST
+                notices = notice_labels(words, row, first, per, index, weight)
                 for k in range(n):
                     a, z = np.searchsorted(owner, [k, k + 1])
                     base = set(label[a:z])
-                    more, score = notice_labels(words[first[k] : first[k] + per[k]], index, weight) if strong[k] else (set(), 0.0)
+                    more, score = notices.get(k, (set(), 0.0))
                     values = (int(per[k]), int(z - a), int(at[a] - first[k]) if z > a else None, int(at[z - 1] - first[k]) if z > a else None, ",".join(sorted(base)), ",".join(sorted(base | more)), max(score, 0.5 if z > a else 0.0))
                     for c, v in zip(cols, values, strict=True):
                         c.append(v)

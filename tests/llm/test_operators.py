@@ -265,6 +265,19 @@ def test_licences(spark):
     assert (got[101].base_labels, got[101].n_base, got[101].first_word, got[101].last_word) == ("cc-by,reserved", 2, 0, 3)
 
 
+def test_licences_all_notices(spark):
+    """All notices in one file, a notice among rare words of others, in every row, and alone."""
+    every, gpl = ",".join(sorted({x[0] for x in licences.NOTICES} | {"reserved"})), licences.NOTICES[3][2]
+    whole = " end. ".join(x[2] for x in licences.NOTICES) + " All rights reserved."
+    rare = " ".join(sorted({w for x in licences.NOTICES if x[0] not in ("gpl", "cc0") for w in x[2].split()}, reverse=True))
+    rows = [(1, whole), (2, f"{rare} {'z ' * 50} {licences.NOTICES[8][2]}")] + [(k, f"plain words number {k}") for k in range(10, 60)]
+    labels = lambda rows: {r.doc_id: (r.labels, round(r.score, 6)) for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = labels(rows)
+    assert got[1] == (every, 1.0) and got[2] == ("cc0", 1.0) and got[10] == ("", 0.0)
+    assert set(labels([(k, f"x {k}. {gpl}") for k in range(20)]).values()) == {("gpl", 1.0)}
+    assert labels([(1, gpl)]) == {1: ("gpl", 1.0)}
+
+
 def test_odd_rows_do_not_crash(spark, odd):
     assert ngram_join.ngram_components(odd).count() == len(ODD)
     assert fuzzy_lines.dedup_lines(odd).count() == len(ODD)
