@@ -4,7 +4,7 @@ Vectors are quantised to int8 with a scale of their own; the norm of what quanti
 kept. A tile multiplies a block of queries with blocks of candidates. The product gives a distance
 between the quantised vectors, and the two lost norms bound how far the true distance can be from
 it, by the triangle inequality. A pair survives a tile if its lower bound is no more than the k-th
-smallest upper bound of its query; survivors are computed again in double precision and kept in a
+smallest upper bound of its query, over the different vec_ids beside its own; survivors are computed again in double precision and kept in a
 heap of k for each query. The heaps of all tiles are merged. The result is exact.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, and vectors only
@@ -58,8 +58,9 @@ def quantised(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.int8), scale, lost
 
 
-def survivors(a, b, k: int, limit: np.ndarray) -> np.ndarray:
-    """Mask of the pairs that may be among the k nearest; ``limit`` bounds the k-th distance so far."""
+def survivors(a, b, k: int, limit: np.ndarray, own: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Mask of the pairs that may be among the k nearest; ``limit`` bounds the k-th distance so far,
+    ``own`` and ``ids`` are the vec_ids of both sides."""
     (qa, sa, ea), (qb, sb, eb) = a, b
     kind = np.float32 if qa.shape[1] * 127 * 127 < 1 << 24 else np.float64  # whole numbers stay exact
     xa, xb = qa.astype(kind), qb.astype(kind)
@@ -67,8 +68,15 @@ def survivors(a, b, k: int, limit: np.ndarray) -> np.ndarray:
     na, nb = sa**2 * (xa.astype(np.float64) ** 2).sum(1), sb**2 * (xb.astype(np.float64) ** 2).sum(1)
     near = np.sqrt(np.maximum(na[:, None] + nb[None, :] - 2 * sa[:, None] * sb[None, :] * dot, 0))
     err = (ea[:, None] + eb[None, :]) * (1 + 1e-9) + 1e-7 * np.sqrt(na[:, None] + nb[None, :])
-    if near.shape[1] > k:
-        limit = np.minimum(limit, np.partition(near + err, k, axis=1)[:, k])  # one may be the query itself
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
+    if len(first) >= k:
+        each = ids[order][first]
+        upper = np.minimum.reduceat((near + err)[:, order], first, axis=1)  # a vec_id once, at its nearest
+        at = np.minimum(np.searchsorted(each, own), len(each) - 1)
+        self_ = np.flatnonzero(each[at] == own)
+        upper[self_, at[self_]] = np.inf
+        limit = np.minimum(limit, np.partition(upper, k - 1, axis=1)[:, k - 1])
     return near - err <= limit[:, None]
 
 
@@ -81,7 +89,7 @@ class Heaps:
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max)
 
     def add(self, ids: np.ndarray, m: np.ndarray) -> None:
-        i, j = np.nonzero(survivors(self.q, quantised(m), self.k, self.score[:, -1] * (1 + 1e-12)))
+        i, j = np.nonzero(survivors(self.q, quantised(m), self.k, self.score[:, -1] * (1 + 1e-12), self.ids, ids))
         keep = self.ids[i] != ids[j]
         i, j = i[keep], j[keep]
         score = np.zeros(len(i))

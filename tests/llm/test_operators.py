@@ -238,6 +238,25 @@ def test_decontaminate(spark, odd):
     assert decontaminate.leaks(odd, spark.createDataFrame([(1, None), (2, "a b")], "item_id long, text string")).count() == 0
 
 
+def test_nearest_repeated_rows(spark):
+    """One near vec_id many times over, and every row repeated side by side."""
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(60, 8))
+    near = [(1000, (m[0] + 0.01 * rng.normal(size=8)).tolist()) for _ in range(30)]
+    rows = near + [(k, (m[k] + 0.001 * c).tolist()) for k in range(60) for c in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = collections.defaultdict(list)
+    for r in sorted(nearest.nearest(df, F.col("vec_id") % 20 == 0).collect()):
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in (0, 20, 40, 1000):
+        best = {}
+        for i, v in rows:
+            if i != q:
+                best[i] = min([best.get(i, np.inf), *(float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())) for j, w in rows if j == q)])
+        want = sorted((s, i) for i, s in best.items())[:10]
+        assert [i for i, _ in got[q]] == [i for _, i in want] and np.allclose([s for _, s in got[q]], [s for s, _ in want])
+
+
 @pytest.mark.parametrize(("rows", "every"), [(300, 3), (300, 1), (300, 8), (300, 20), (12, 6)])
 def test_decontaminate_frequent_items(spark, rows, every):
     """One item in a large part of all rows, or in two rows of a small table, beside rare words of
