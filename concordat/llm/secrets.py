@@ -1,15 +1,17 @@
 """Secret scans with a recursive decoding worklist.
 
 The whole text is layer 0. Every layer is scanned for secrets and for encoded regions: runs with
-URL escapes, runs with Unicode escapes or character references, base64 (also URL-safe), and what
-base64 holds when it is compressed (gzip, zlib, bzip2, xz, zstandard). A decoded region is a new
+URL escapes, runs with Unicode escapes or character references, base64 (also URL-safe, and wrapped
+to lines of one width, which are joined), and what base64 holds when it is compressed (gzip, zlib, bzip2, xz, zstandard). A decoded region is a new
 layer on the worklist; a layer whose content was seen in this text is not entered again, so the
 work ends at a fixpoint even where a layer decodes to itself. Each character of a layer knows the
 characters of the text that it came from, so that a secret found in any layer has a span there.
 
 Base kinds are assign, access and hex in the text itself; the same kinds found in decoded layers
 are layer_assign, layer_access and layer_hex. A compressed layer is read whole up to ``MAX_LAYER``
-bytes, so that a small text can't fill the memory; one that is larger is skipped as damaged data.
+bytes, so that a small text can't fill the memory; one that is larger is streamed, as layers of
+``BLOCK`` bytes that overlap by ``OVERLAP``: an encoded region in it is whole in one of them up to
+that length.
 
 Null and empty texts have no secrets. Repeated rows give equal results; other columns are not read.
 """
@@ -18,12 +20,14 @@ from __future__ import annotations
 
 import binascii
 import bz2
+import codecs
 import hashlib
 import html
 import io
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,7 @@ from .spans import digest, joined
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, *(f"layer_{k}" for k in BASE))
 MAX_LAYER = 64 << 20
+BLOCK, OVERLAP = 4 << 20, 1 << 20
 
 ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -45,6 +50,8 @@ ESCAPED = re.compile(r"[^\s\\&]*(?:(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-
 ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|&([A-Za-z]{2,31};)")
 #: The shortest secret, an assignment of 14 characters, needs 19 characters of base64.
 BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{19,}|[A-Za-z0-9_-]{19,})={0,2}")
+#: Ends of lines and whole lines of base64, one below the other.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 #: In base64, no secret of the three kinds is lower-case letters alone.
 HINTS = re.compile(r"[0-9A-Z+/_=-]")
 
@@ -102,36 +109,123 @@ def unescape(text: str, first: np.ndarray, last: np.ndarray):
     return "".join(out), np.array(a, np.int64), np.array(b, np.int64)
 
 
+class TooLarge(Exception):
+    """Compressed bytes hold more than MAX_LAYER."""
+
+
 def _inflate(raw: bytes) -> bytes | None:
-    """What compressed bytes hold, None if they are none or hold more than MAX_LAYER."""
+    """What compressed bytes hold, None if they are none."""
     try:
         if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
             z = zlib.decompressobj(47)
             out = z.decompress(raw, MAX_LAYER)
-            return None if z.unconsumed_tail else out
+            if z.unconsumed_tail or (len(out) == MAX_LAYER and not z.eof):
+                raise TooLarge
+            return out
         if raw[:3] == b"BZh":
             z = bz2.BZ2Decompressor()
             out = z.decompress(raw, MAX_LAYER)
+            if len(out) == MAX_LAYER and not z.eof:
+                raise TooLarge
             return out if z.eof else None
         if raw[:6] == b"\xfd7zXZ\x00":
             z = lzma.LZMADecompressor()
             out = z.decompress(raw, MAX_LAYER)
+            if len(out) == MAX_LAYER and not z.eof:
+                raise TooLarge
             return out if z.eof else None
         if raw[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
             with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)) as r:
                 out = r.read(MAX_LAYER)
-                return None if r.read(1) else out
+                if r.read(1):
+                    raise TooLarge
+                return out
+    except TooLarge:
+        raise
     except Exception as e:  # noqa: BLE001  each library has errors of its own for damaged data
         if isinstance(e, MemoryError | ImportError):
             raise
     return None
 
 
+def _pieces(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What a stream holds that may be compressed, several times over, in pieces of bounded size;
+    it ends where the data is damaged."""
+    head = b""
+    while len(head) < 6 and (more := next(chunks, b"")):
+        head += more
+
+    def inflated(raw: bytes) -> Iterator[bytes]:
+        if raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00":
+            z = bz2.BZ2Decompressor() if raw[:1] == b"B" else lzma.LZMADecompressor()
+            while raw and not z.eof:
+                yield z.decompress(raw, BLOCK)
+                while not z.eof and not z.needs_input:
+                    yield z.decompress(b"", BLOCK)
+                raw = next(chunks, b"")
+        elif raw[:4] == b"\x28\xb5\x2f\xfd":
+            import zstandard
+
+            z = zstandard.ZstdDecompressor().decompressobj()
+            while raw and not z.eof:
+                for k in range(0, len(raw), 1024):  # bounds what one step inflates to
+                    if not z.eof:
+                        yield z.decompress(raw[k : k + 1024])
+                raw = next(chunks, b"")
+        else:
+            z = zlib.decompressobj(47)
+            while raw and not z.eof:
+                yield z.decompress(raw, BLOCK)
+                raw = z.unconsumed_tail or (b"" if z.eof else next(chunks, b""))
+
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0) or head[:3] == b"BZh" or head[:6] == b"\xfd7zXZ\x00" or head[:4] == b"\x28\xb5\x2f\xfd":
+        source = inflated(head)
+        safe = _until_damaged(source)
+        yield from _pieces(safe)
+    else:
+        yield head
+        yield from chunks
+
+
+def _until_damaged(source: Iterator[bytes]) -> Iterator[bytes]:
+    try:
+        yield from (x for x in source if x)
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError) as e:
+        del e
+    except Exception as e:  # noqa: BLE001  zstandard has an error of its own
+        if isinstance(e, MemoryError | ImportError):
+            raise
+
+
+def streamed(raw: bytes, first: int, last: int):
+    """Layers of compressed bytes too large for one: overlapping blocks of text."""
+    decoder, text = codecs.getincrementaldecoder("utf-8")(), ""
+    layer = lambda t: (t, np.broadcast_to(np.int64(first), len(t)), np.broadcast_to(np.int64(last), len(t)))
+    try:
+        for piece in _pieces(iter([raw])):
+            new = decoder.decode(piece)
+            if sum(c < " " and c not in "\t\n\r" for c in new):
+                return
+            text += new
+            if len(text) >= BLOCK + OVERLAP:
+                yield layer(text)
+                text = text[-OVERLAP:]
+    except UnicodeDecodeError:
+        return
+    yield layer(text)
+
+
+def unwrapped(text: str, first: np.ndarray, last: np.ndarray):
+    """Layer of base64 that is wrapped to lines."""
+    keep = np.array([k for k, c in enumerate(text) if not c.isspace()])
+    return unbase64("".join(text.split()), first[keep], last[keep])
+
+
 def unbase64(text: str, first: np.ndarray, last: np.ndarray):
     """Layer of a base64 run: text, or what compressed bytes inflate to, whose characters then all
-    come from the whole run."""
+    come from the whole run; an iterator of layers where that is too large for one."""
     body = text.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         body = body[:-1]
@@ -140,7 +234,13 @@ def unbase64(text: str, first: np.ndarray, last: np.ndarray):
     except binascii.Error:
         return None
     opened = set()
-    while (inner := _inflate(raw)) is not None:
+    while True:
+        try:
+            inner = _inflate(raw)
+        except TooLarge:
+            return streamed(raw, int(first[0]), int(last[len(text) - 1]))
+        if inner is None:
+            break
         opened.add(hashlib.sha256(raw).digest())
         if not inner or hashlib.sha256(inner).digest() in opened:
             return None
@@ -167,6 +267,29 @@ def encoded(text: str):
     for m in BASE64.finditer(text):
         if HINTS.search(m[0]):
             yield m.start(), m.end(), unbase64
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            for a, b in wrapped_runs(m[0], m.start() == 0 or text[m.start() - 1] == "\n"):
+                if HINTS.search(m[0], a, b):
+                    yield m.start() + a, m.start() + b, unwrapped
+
+
+def wrapped_runs(text: str, whole: bool) -> Iterator[tuple[int, int]]:
+    """Runs of lines of one width in lines of base64, with a shorter line at the end and without,
+    and with the end of a line before them and without unless the first line is ``whole``."""
+    lines = [(m.start(), m.end(), m.end() - m.start() - m[0].count("=")) for m in re.finditer(r"\S+", text)]
+    k = 0
+    while k < len(lines):
+        e = k + 1
+        while e < len(lines) and lines[e][2] == lines[k][2]:
+            e += 1
+        starts = [k, *([0] if k == 1 and not whole and lines[0][2] < lines[1][2] else [])]
+        ends = [e, *([e + 1] if e < len(lines) and lines[e][2] < lines[k][2] else [])]
+        for a in starts:
+            for z in ends:
+                if z - a > 1 and lines[z - 1][1] - lines[a][0] >= 19:
+                    yield lines[a][0], lines[z - 1][1]
+        k = e
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -179,6 +302,12 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str,
         for a, b, decode in encoded(layer_text):
             sub = (np.arange(a, b), np.arange(a + 1, b + 1)) if first is None else (first[a:b], last[a:b])
             got = decode(layer_text[a:b], *sub)
+            if isinstance(got, Iterator):
+                mark = hashlib.blake2b(layer_text[a:b].encode("utf-8", "surrogatepass") + sub[0][:1].tobytes() + sub[1][-1:].tobytes(), digest_size=16).digest()
+                if mark not in seen:
+                    seen.add(mark)
+                    work.append(got)
+                continue
             if got is None or not got[0] or got[0] == layer_text[a:b]:
                 continue
             mark = hashlib.blake2b(got[0].encode("utf-8", "surrogatepass") + sub[0][:1].tobytes() + sub[1][-1:].tobytes(), digest_size=16).digest()
@@ -188,7 +317,13 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str,
 
     push(text, None, None)
     while work:
-        layer_text, first, last = work.pop()
+        layer = work.pop()
+        if isinstance(layer, Iterator):
+            if (block := next(layer, None)) is None:
+                continue
+            work.append(layer)
+            layer = block
+        layer_text, first, last = layer
         extra += [(f"layer_{k}", int(first[a]), int(last[b - 1])) for k, a, b in scan(layer_text)]
         push(layer_text, first, last)
     own = set(base)

@@ -181,6 +181,38 @@ def test_secrets(odd):
     assert secrets.scan_secrets(odd).count() == len(ODD)
 
 
+def test_secrets_wrapped_base64():
+    rng = random.Random(8)
+    noise = "".join(rng.choice("ghjkmnpq ") for _ in range(400))
+    wrap = lambda raw, n, end: end.join(c[k : k + n] for c in [base64.b64encode(raw).decode()] for k in range(0, len(c), n))
+    for size in range(0, 60, 7):
+        for n, end in ((64, "\n"), (76, "\r\n"), (61, "\n  "), (16, "\n")):
+            for raw in (f"{noise[:size]} token=abcdefgh1234 {noise}".encode(), gzip.compress(f"{noise}{size} token=abcdefgh1234".encode())):
+                for before, after in (("-----BEGIN X KEY-----\n", "\n-----END X KEY-----"), ("see\n", "\nThen more"), ("data: ", "")):
+                    body = wrap(raw, n, end)
+                    got = secrets.find_secrets(before + body + after)[1]
+                    plain = raw[:2] != b"\x1f\x8b"
+                    a, z = len(before), len(before) + len(body)
+                    assert any(k == "layer_assign" and a <= s < e <= z and (plain or s == a) for k, s, e in got)
+                    if plain:  # the whole secret, over the break
+                        t = before + body + after
+                        assert any(b"token=abcdefgh1234" in base64.b64decode(re.sub(r"\s", "", t[a:e]) + "==", validate=False) and k == "layer_assign" for k, s, e in got)
+
+
+@pytest.mark.parametrize("kind", ["gzip", "bz2", "lzma", "twice"])
+def test_secrets_large_layers(kind, monkeypatch):
+    import bz2
+    import lzma
+
+    for name, value in (("MAX_LAYER", 200_000), ("BLOCK", 50_000), ("OVERLAP", 10_000)):
+        monkeypatch.setattr(secrets, name, value)
+    pack = {"gzip": gzip.compress, "bz2": bz2.compress, "lzma": lzma.compress, "twice": lambda x: gzip.compress(gzip.compress(x, 0))}[kind]
+    for at in (0, 49_995, 299_990, 600_000):
+        text = "é b " * (at // 4) + " token=abcdefgh1234 " + "c d " * ((700_000 - at) // 4)
+        got = base64.b64encode(pack(text.encode())).decode()
+        assert secrets.find_secrets(f"ab {got} cd") == ([], [("layer_assign", 3, 3 + len(got.rstrip("=")) + got.count("="))])
+
+
 def test_sentence_runs(spark):
     a = "First one here is a sentence of some words. Then comes a second one with many more words in it. A third closes it all."
     rows = [(1, "Intro. " + a), (2, "Other text. " + a + " Tail."), (3, "Clean words only."), (4, None), (5, "")]
