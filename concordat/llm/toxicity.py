@@ -1,8 +1,8 @@
 """Toxicity by noisy-channel deobfuscation and a scorer of the restored text.
 
 1. A character trigram model is counted over all documents.
-2. Stretches that may be disguised - letters beside leetspeak signs, letters repeated three times or
-   more, single letters set apart - become lattices of what each sign may stand for. A Viterbi
+2. Stretches that may be disguised - letters before or after leetspeak signs, letters repeated three
+   times or more, single letters or signs set apart - become lattices of what each sign may stand for. A Viterbi
    search takes the path that the channel costs and the language model like best; it may be the
    stretch as it stands.
 3. Words of the restored text and their beginnings are the features. Weights are smoothed log odds
@@ -43,11 +43,18 @@ SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 SIGN_COST, KEEP_COST, DROP_COST, REPEAT_COST = 1.0, 2.5, 2.0, 0.7
 
 _SIGN = "".join(c if c.isalnum() or c == "€" else "\\" + c for c in SIGNS)
+_UNIT, _NEXT = rf"(?:[^\W\d_]|[{_SIGN}])", r"[ .\-_*]"
 DISGUISED = re.compile(
-    rf"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_](?![^\W_])){{2,}}"  # single letters set apart
-    rf"|[^\s]*(?:[^\W\d_][{_SIGN}]{{1,3}}[^\W\d_]|(?<![^\s])[{_SIGN}][^\W\d_])[^\s]*"  # signs between letters or before them
+    # single letters and signs set apart, three or more, one of them a letter
+    rf"(?<![^\W_])(?:[^\W\d_](?:{_NEXT}{_UNIT}(?![^\W_])){{2,}}"
+    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}](?![^\W_]))*{_NEXT}[^\W\d_](?![^\W_])(?:{_NEXT}{_UNIT}(?![^\W_]))+"
+    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}](?![^\W_]))+{_NEXT}[^\W\d_](?![^\W_]))"
+    rf"|[^\s]*(?:[^\W\d_][{_SIGN}]{{1,3}}(?:[^\W\d_]|(?!\w))|(?<![^\s])[{_SIGN}][^\W\d_])[^\s]*"  # signs between, after or before letters
     rf"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"  # a letter three times
 )
+SPACED = re.compile(rf"[^\W\d_](?:{_NEXT}[^\W\d_])+|{_UNIT}(?:{_NEXT}{_UNIT}){{2,}}")
+#: What is neither letter, digit nor sign at the edges of a stretch stands for nothing.
+EDGES = re.compile(rf"([^\w{_SIGN}]*)(.*?)([^\w{_SIGN}]*)", re.S)
 
 
 class CharModel:
@@ -60,7 +67,7 @@ class CharModel:
     def restore(self, text: str) -> str:
         """The best path through the lattice of a stretch."""
         units, at = [], 0
-        spaced = re.fullmatch(r"[^\W\d_](?:[ .\-_*][^\W\d_])+", text) is not None
+        spaced = SPACED.fullmatch(text) is not None
         while at < len(text):
             c, n = text[at], 1
             if c.isalpha():
@@ -105,7 +112,8 @@ class Restorer:
         if raw not in self.seen:
             if len(self.seen) > 50_000:
                 self.seen.clear()
-            self.seen[raw] = self.model.restore(core)
+            head, inner, tail = EDGES.fullmatch(core).groups()
+            self.seen[raw] = head + self.model.restore(inner) + tail
         return self.seen[raw]
 
     def __call__(self, text: str) -> str:
@@ -195,7 +203,7 @@ def char_counts(texts: DataFrame) -> np.ndarray:
 
 
 #: A quick test that stops no text that DISGUISED would change, but for letters repeated three times.
-MAYBE = rf"\pL[{_SIGN}]{{1,3}}\pL|(?:^|\s)[{_SIGN}]\pL|(?:^|[^\pL\pN])\pL[ .\-_*]\pL[ .\-_*]\pL(?:$|[^\pL\pN])"
+MAYBE = rf"\pL[{_SIGN}]{{1,3}}(?:\pL|$|[^\pL\pN_])|(?:^|\s)[{_SIGN}]\pL|(?:^|[^\pL\pN])[\pL{_SIGN}][ .\-_*][\pL{_SIGN}][ .\-_*][\pL{_SIGN}](?:$|[^\pL\pN])"
 
 
 def suspicious(texts: pa.Array) -> np.ndarray:

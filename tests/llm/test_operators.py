@@ -154,6 +154,18 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_toxicity(df, labels.limit(0), F.lit(True)).collect()} <= {1 / (1 + np.exp(30))}
 
 
+def test_toxicity_signs_at_ends_and_apart(spark):
+    lit = [(k, ("the idiot and moron are here " if k % 3 == 0 else "the calm word of the day is here ") + f"w{k}") for k in range(300)]
+    bad = ["idio7", "idio7,", "m 0 r 0 n", "1 d 1 0 t", "1.d.1.0.t", "m-0-r-0-n", "i d 1 0 7"]
+    good = ["calm!", "word (day)", "1 2 3", "1.0.3.4", "of 5 + 3 + 1", "day 1 a"]
+    lit += [(1000 + k, f"the {t} is here") for k, t in enumerate(bad)] + [(2000 + k, f"the {t} is here") for k, t in enumerate(good)]
+    df = spark.createDataFrame(lit, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(df, labels, ~toxicity.held_out(F.col("doc_id"))).collect()}
+    assert all((got[k] >= 0.5) == (k % 3 == 0) for k in range(300))
+    assert [t for k, t in enumerate(bad) if got[1000 + k] < 0.5] == [] == [t for k, t in enumerate(good) if got[2000 + k] >= 0.5]
+
+
 def test_private_data_gradient_and_scan(odd):
     rng = np.random.default_rng(0)
     p, x, y = private_data.parameters(), rng.integers(0, private_data.CLASSES, (2, 6)), rng.integers(0, private_data.TAGS, (2, 6))
