@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm.common import checkpoint_folder
+from concordat.llm.common import checkpoint_folder, cut
 from concordat.llm.decontaminate import decontaminated
 from concordat.llm.fuzzy_lines import dedup_lines
 from concordat.llm.ngram_join import ngram_components
@@ -36,10 +36,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group: shingles of five words, Jaccard 0.8 or more."""
-    groups = ngram_components(docs, n=5, num=80, den=100)
+    """The document of the smallest id of each group: shingles of five words, Jaccard 0.8 or more.
+
+    Each row without a doc_id is a document of its own, after all others: it stays unless its group
+    has a document with an id, or an earlier one without.
+    """
+    number = (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("__row")
+    nameless = cut(docs.where("doc_id is null").select("*", number))  # numbered once
+    rows = docs.where("doc_id is not null").select("*", F.col("doc_id").cast("long").alias("__row")).unionAll(nameless)
+    groups = ngram_components(rows, doc_id="__row", n=5, num=80, den=100)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs.doc_id == F.col("__kept"), "left_semi")
+    return rows.join(kept, rows["__row"] == F.col("__kept"), "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -351,6 +351,16 @@ def test_odd_rows_do_not_crash(spark, odd):
         assert f(empty).count() == 0
 
 
+def test_near_duplicates_without_id(spark):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{n}" for n in range(40))
+    rows = [(1, text(1), "a"), (2, text(1) + " more", "b"), (3, text(3), "c"), (None, text(3) + " more", "d"), (None, text(5), "e"), (None, text(6), "f"), (None, text(6) + " more", "g"), (None, None, "h"), (None, "", "i"), (7, None, "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r.source for r in got.collect()) == ["a", "c", "e", "f", "h", "i", "j"]
+
+
 def test_pipeline_contract():
     import corpus_pipeline
 
