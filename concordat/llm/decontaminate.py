@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ship, span_hashes, spans, text_chunks
+from .common import cut, ship, shuffle_parts, span_hashes, spans, text_chunks
 
 PASSAGE = 64
 RANK = 96
@@ -104,12 +104,23 @@ def _passages(sizes: np.ndarray, words: np.ndarray):
     return words[known].astype(np.int64) - 1, passage[known], int(count.sum())
 
 
-def _sums(rows: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
-    """Sums of the rows of each group; ``group`` is sorted."""
-    out = np.zeros((groups, rows.shape[1]), rows.dtype)
-    if len(group):
-        at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        out[group[at]] = np.add.reduceat(rows, at, axis=0)
+def _sums(table: np.ndarray, at: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the rows ``table[at]`` of each group; ``group`` is sorted.
+
+    The groups are ordered by size, so that their n-th rows are added to one stretch at once.
+    """
+    out = np.zeros((groups, table.shape[1]), table.dtype)
+    if not len(group):
+        return out
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.r_[first, len(group)])
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    total = table[at[first]]
+    ends = np.searchsorted(-size, -np.arange(1, size[0]), "left")  # groups of more than n rows
+    for n, end in enumerate(ends.tolist(), 1):
+        total[:end] += table[at[first[:end] + n]]
+    out[group[first]] = total
     return out
 
 
@@ -144,22 +155,22 @@ def gram_product(docs: DataFrame, items: Items, idf: np.ndarray, m: np.ndarray)
         for _, sizes, words in _rows(batches, items.kind):
             w, p, n = _passages(sizes, words)
             w, p = w[live[w]], p[live[w]]
-            y = _sums(weight[w], p, n)
+            y = _sums(weight, w, p, n)
             order = np.argsort(w, kind="stable")
-            total += _sums(y[p[order]], w[order], size)
+            total += _sums(y, p[order], w[order], size)
         some = np.flatnonzero(total.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([r.tobytes() for r in total[some]], pa.binary())], names=["k", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([r.tobytes() for r in total[some].astype(np.float32)], pa.binary())], names=["k", "v"])
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                v = np.frombuffer(v, np.float64)
+                v = np.frombuffer(v, np.float32).astype(np.float64)
                 total[k] = total[k] + v if k in total else v
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "v"])
 
     out = np.zeros((size, rank))
-    parts = docs.mapInArrow(run, "k int, v binary").repartition(8, "k").mapInArrow(add, "k int, v binary")
+    parts = docs.mapInArrow(run, "k int, v binary").repartition(shuffle_parts(docs.sparkSession), "k").mapInArrow(add, "k int, v binary")
     for r in parts.collect():
         out[r["k"]] = np.frombuffer(bytes(r["v"]), np.float64)
     return out * idf[:, None]
@@ -200,6 +211,34 @@ def has_answer(item: np.ndarray, words: np.ndarray) -> bool:
     return bool(hit.any())
 
 
+def _holding(words: np.ndarray, begin: np.ndarray, end: np.ndarray, span: int, pairs: list, items: list[np.ndarray], loose: float, known: int):
+    """Those pairs of a window and an item where the words from ``begin`` to ``end`` hold ``loose`` of
+    the item's words, in any order: fewer can't be a subsequence."""
+    if not pairs:
+        return
+    window, item = (np.concatenate(x).astype(np.int64) for x in zip(*pairs, strict=True))
+    order = np.lexsort((window, item))
+    window, item = window[order], item[order]
+    edges = np.flatnonzero(np.r_[True, item[1:] != item[:-1], True][: len(item) + 1]) if len(item) else [0]
+    column, reach = np.full(known + 1, -1, np.int64), np.arange(span)
+    for a, z in zip(edges[:-1], [*edges[1:]], strict=True):
+        i = int(item[a])
+        own, times = np.unique(items[i], return_counts=True)
+        column[own] = np.arange(len(own))
+        for s in range(a, z, 4096):
+            w = window[s : min(z, s + 4096)]
+            at = begin[w][:, None] + reach
+            inside = at < end[w][:, None]
+            here = column[words[np.where(inside, at, begin[w][:, None])]]
+            here[~inside] = -1
+            row, place = np.nonzero(here >= 0)
+            there = np.zeros((len(w), len(own)), np.int64)
+            there[row, here[row, place]] = 1
+            for k in w[there @ times >= loose * len(items[i])].tolist():
+                yield k, i
+        column[own] = -1
+
+
 def presence(words: np.ndarray, block: np.ndarray, inside: np.ndarray, count: np.ndarray, items: list[np.ndarray], loose: float):
     """Windows and items, by number, of all pairs where the blocks from 2 before the window's to 5
     after it hold ``loose`` of the item's words."""
@@ -277,14 +316,14 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
             start = np.repeat(np.cumsum(sizes) - sizes, sizes)
             block = (np.arange(len(words)) - start) // STEP + np.repeat(np.cumsum(count) - count, sizes)
             known = np.flatnonzero(live[words])
-            sums = _sums(weight[words[known].astype(np.int64) - 1], block[known], int(count.sum()))
+            sums = _sums(weight, words[known].astype(np.int64) - 1, block[known], int(count.sum()))
             first = np.cumsum(sizes) - sizes
             for c in range(level.max() + 1):
                 if c:  # blocks of twice the length, within documents
                     owner = np.repeat(np.arange(len(sizes)), count)
                     inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
                     count = -(-count // 2)
-                    sums = _sums(sums, inside // 2 + (np.cumsum(count) - count)[owner], int(count.sum()))
+                    sums = _sums(sums, np.arange(len(sums)), inside // 2 + (np.cumsum(count) - count)[owner], int(count.sum()))
                 mine = np.flatnonzero(level == c)
                 if not len(mine) or not len(sums):
                     continue
@@ -298,22 +337,23 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
                 inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
                 ask = queries[mine].T
                 for s in range(0, len(window), 8192):
-                    w, i = np.nonzero(unit(window[s : s + 8192]) @ ask >= cosine)
+                    part = window[s : s + 8192]
+                    least = cosine * np.maximum(np.sqrt(np.einsum("ij,ij->i", part, part)), 1e-12)
+                    w, i = np.nonzero(part @ ask >= least[:, None])
                     pairs.append((w + s, mine[i]))
                 if len(common := mine[plain[mine]]):
                     of = (np.arange(len(words)) - start) // (STEP << c) + np.repeat(np.cumsum(count) - count, sizes)
                     pairs += [(w, common[i]) for w, i in presence(words, of, inside, count, [own.words[i] for i in common], loose)]
-                for w, i in ((w, i) for ws, items in pairs for w, i in zip(ws.tolist(), items.tolist(), strict=True)):
+                size = STEP << c
+                begin = first[owner] + np.maximum(0, inside - 2) * size
+                end = first[owner] + np.minimum(sizes[owner], (inside + 6) * size)
+                for w, i in _holding(words, begin, end, 8 * size, pairs, own.words, loose, len(own.vocabulary)):
                     d = int(owner[w])
                     item = own.words[i]
                     old = found.get((d, i), (0, 0))
                     if old[0] >= len(item):
                         continue
-                    size = STEP << c
-                    a, z = int(inside[w]) * size - size * 2, int(inside[w]) * size + size * 6
-                    part = words[first[d] + max(0, a) : first[d] + min(int(sizes[d]), z)]
-                    if sum(map(set(part.tolist()).__contains__, item.tolist())) < loose * len(item):
-                        continue
+                    part = words[begin[w] : end[w]]
                     lcs = common_subsequence(item, part)
                     if lcs > old[0] and (lcs >= strict * len(item) or lcs >= loose * len(item) and has_answer(item, part)):
                         found[d, i] = (lcs, len(item))
