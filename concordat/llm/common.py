@@ -39,11 +39,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names, else one of our own."""
+    """The shared folder that the session names. A folder of our own stands in on one machine only:
+    the executors of a cluster couldn't read it."""
     sc = spark.sparkContext
     folder = sc._jsc.sc().getCheckpointDir()
     if folder.isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordat-ckpt"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="concordat-ckpt"))
         folder = sc._jsc.sc().getCheckpointDir()
     return folder.get()
 
@@ -54,6 +58,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def column_types(df: DataFrame, end: int | None = None) -> str:
+    """The schema of the first columns, as text."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields[:end])
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps that nothing refers to any more; else
     they stay until the driver happens to collect its garbage."""
@@ -127,13 +144,21 @@ def _powers(n: int) -> None:
         _POW, _INV = out
 
 
+class SpanHash:
+    """64-bit hashes of byte spans of some data, equal for equal bytes wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        _powers(len(data) + 1)
+        self.total = np.zeros(len(data) + 1, U64)
+        np.cumsum(_BYTES[data] * _POW[: len(data)], out=self.total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (self.total[ends] - self.total[starts]) * _INV[starts]
+        return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, equal for equal bytes wherever they stand."""
-    _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTES[data] * _POW[: len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * _INV[starts]
-    return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    return SpanHash(data)(starts, ends)
 
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -156,7 +181,7 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[:n], after[n] = inside, False
     after[offsets[1:]] = False
     end = np.flatnonzero(inside & ~after[1:]) + 1
-    return start, end, np.searchsorted(offsets, start, "right") - 1
+    return start, end, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(start, offsets)))
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,13 +198,14 @@ KEY_BYTES = 5
 
 
 def bucket_blobs(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Entries (key, ids) as one binary row a bucket, sorted by key; ids are longs, one or more.
+    """Entries (key, ids) as one binary row a bucket, sorted by key; ids are longs, one or more, or
+    rows of some other type of fixed size.
 
     Buckets are ranges of keys, so that a bucket only sends the 5 low bytes of each key: with some
     million entries a bucket, other keys agree with them about once in a million entries.
     """
     order = np.argsort(keys)
-    keys, wide = keys[order], (ids if ids.ndim == 2 else ids[:, None])[order]
+    keys, wide = keys[order], ids[order]
     bucket = ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
     ends = np.r_[edges[1:], len(bucket)][: len(edges)]
@@ -194,24 +220,25 @@ def bucket_blobs(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBa
     )
 
 
-def read_blobs(batches, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def read_blobs(batches, width: int = 1, kind=None) -> tuple[np.ndarray, np.ndarray]:
     """All entries of a partition of blobs whose key another entry shares, as keys and an id matrix,
-    sorted by key."""
+    or rows of ``kind``, sorted by key."""
     keys, ids = [], []
     for b in batches:
         for n, x in zip(b.column("bucket").to_pylist(), b.column("keys").to_pylist(), strict=True):
             k = np.zeros((len(x) // KEY_BYTES, 8), np.uint8)
             k[:, :KEY_BYTES] = np.frombuffer(x, np.uint8).reshape(-1, KEY_BYTES)
             keys.append(k.view(U64)[:, 0] | U64(n) << U64(8 * KEY_BYTES))
-        ids += [np.frombuffer(x, np.int64) for x in b.column("ids").to_pylist()]
+        ids += [np.frombuffer(x, kind or np.int64) for x in b.column("ids").to_pylist()]
     if not keys:
-        return np.zeros(0, U64), np.zeros((0, width), np.int64)
+        return np.zeros(0, U64), np.zeros(0, kind) if kind else np.zeros((0, width), np.int64)
     keys = np.concatenate(keys)
     order = np.argsort(keys)
     keys = keys[order]
     same = keys[1:] == keys[:-1]
     shared = np.r_[False, same] | np.r_[same, False]
-    return keys[shared], np.concatenate(ids).reshape(-1, width)[order[shared]]
+    ids = np.concatenate(ids)
+    return keys[shared], (ids if kind else ids.reshape(-1, width))[order[shared]]
 
 
 def star_edges(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

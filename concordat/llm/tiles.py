@@ -13,11 +13,13 @@ from .common import shuffle_parts
 def tile_rows(near: DataFrame, payload: DataFrame, columns: list[str], block_rows: int) -> DataFrame:
     """Rows (grp, i, j, block, node, columns) of all tiles, sorted by tile within partitions.
 
-    ``near`` has (node, root); ``payload`` rows of nodes, equal where a node repeats. A group of more than ``block_rows``
+    ``near`` has (node, root) and any of the columns; ``payload`` has the others, in rows that are equal
+    where a node repeats. A group of more than ``block_rows``
     nodes is cut into row blocks and each pair of blocks is a tile.
     """
     many = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    rows = near.join(many, "root").select("node", F.col("root").alias("grp"), F.ceil(F.col("members") / block_rows).cast("int").alias("blocks"))
+    own = [c for c in columns if c in near.columns]
+    rows = near.join(many, "root").select("node", *own, F.col("root").alias("grp"), F.ceil(F.col("members") / block_rows).cast("int").alias("blocks"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(payload, "node")
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", *columns)

@@ -172,7 +172,8 @@ def test_fuzzy_lines_with_changed_letters(spark):
 
 def test_fuzzy_lines_large_groups(spark, monkeypatch):
     """A run of words that thousands of lines share, most of them otherwise unlike each other."""
-    monkeypatch.setattr(fuzzy_lines, "WIDE", 64)
+    for name, value in (("WIDE", 64), ("MOST", 4)):
+        monkeypatch.setattr(fuzzy_lines, name, value)
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
     rows = [f"{word()} {word()} internationalisation committee {word()} {word()}" for _ in range(300)]
