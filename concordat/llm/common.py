@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 CHUNK = 1 << 20
 EDGES_PER_TASK = 250_000
+EDGES_IN_ONE = 1_000_000  # 16 MB: edges that one task can join
 
 
 # --- session -------------------------------------------------------------------------------
@@ -145,12 +146,15 @@ def _powers(n: int) -> None:
 
 
 class SpanHash:
-    """64-bit hashes of byte spans of some data, equal for equal bytes wherever they stand."""
+    """64-bit hashes of byte spans of some data, equal for equal bytes wherever they stand; with ``fold``
+    letters A-Z count as a-z."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, fold: bool = False):
         _powers(len(data) + 1)
         self.total = np.zeros(len(data) + 1, U64)
-        np.cumsum(_BYTES[data] * _POW[: len(data)], out=self.total[1:])
+        each = (_BYTES[LOWER] if fold else _BYTES)[data]
+        each *= _POW[: len(data)]
+        np.cumsum(each, out=self.total[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         h = (self.total[ends] - self.total[starts]) * _INV[starts]
@@ -173,22 +177,25 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    before = np.empty(n + 1, bool)
-    before[0], before[1:] = False, inside
-    before[offsets[:-1]] = False
-    start = np.flatnonzero(inside & ~before[:n])
-    after = np.empty(n + 1, bool)
-    after[:n], after[n] = inside, False
-    after[offsets[1:]] = False
-    end = np.flatnonzero(inside & ~after[1:]) + 1
+    turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    opens = inside[turn]
+    start, end = turn[opens], turn[~opens]
+    at = offsets[1:-1]
+    at = np.unique(at[(at > 0) & (at < n)])
+    at = at[inside[at - 1] & inside[at]]  # runs that go on into the next row
+    if inside[0]:
+        start = np.r_[0, start]
+    if inside[-1]:
+        end = np.r_[end, n]
+    if len(at):
+        start, end = (np.sort(np.concatenate([x, at]), kind="stable") for x in (start, end))
     return start, end, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(start, offsets)))
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every white-space separated word, A-Z lower-cased."""
-    low = LOWER[data]
-    start, end, row = spans(~SPACE[low], offsets)
-    return span_hashes(low, start, end), row
+    start, end, row = spans(~SPACE[data], offsets)
+    return SpanHash(data, fold=True)(start, end), row
 
 
 # --- bucket exchange -----------------------------------------------------------------------
@@ -284,10 +291,26 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node of an undirected graph, root being the smallest node it reaches.
 
     Alternating large-star and small-star steps over DataFrames. Minima are taken by aggregation
-    and joined back, so that a node of any degree never has to fit in one task.
+    and joined back, so that a node of any degree never has to fit in one task. Up to ``EDGES_IN_ONE``
+    edges, as counted, one task joins at once, with the same result.
     """
     parts = shuffle_parts(edges.sparkSession)
 
+    def at_once(batches):
+        got = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1) for b in batches]
+        node, at = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *got]), return_inverse=True)
+        u, v = at.reshape(-1, 2).T
+        label = np.arange(len(node))
+        while len(u):
+            low = np.minimum(label[u], label[v])
+            np.minimum.at(label, u, low)
+            np.minimum.at(label, v, low)
+            while ((further := label[label]) != label).any():
+                label = further
+            apart = label[u] != label[v]
+            u, v = label[u[apart]], label[v[apart]]
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[label])], names=["node", "root"])
+
     def settled(rows: DataFrame) -> tuple[DataFrame, tuple]:
         """Checkpointed edges in as many partitions as their number calls for, and their digest."""
         rows = cut(rows)
@@ -295,6 +318,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return rows.coalesce(min(parts, 1 + mark[0] // EDGES_PER_TASK)), mark
 
     e, was = settled(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    if was[0] <= EDGES_IN_ONE:
+        return e.coalesce(1).mapInArrow(at_once, "node long, root long")
     while was[0]:
         few = min(parts, 1 + 2 * was[0] // EDGES_PER_TASK)
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(few)
