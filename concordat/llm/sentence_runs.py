@@ -12,8 +12,9 @@ at the end of the text. Sentences of more than 64 words are cut after words chos
 so that the cuts move with the words. Case of A-Z and amounts of white space don't matter.
 
 Occurrences of one run within a batch meet before the shuffle: only the first one goes on, so that
-a run in a third of all rows sends an entry for each batch, not for each row. Null, empty and short
-texts have no runs. Rows of equal doc_id count as one document. Spans are code points of the text.
+a run in a third of all rows sends an entry for each batch, not for each row. Runs are equal where two
+hashes are, over 100 bits together whatever the number of buckets, so that no run that differs is taken
+for a repeat. Null, empty and short texts have no runs, and rows without a doc_id take no part. Rows of equal doc_id count as one document. Spans are code points of the text.
 """
 
 from __future__ import annotations
@@ -24,19 +25,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import LOWER, SPACE, U64, bucket_blobs, mix, read_blobs, ship, shuffle_parts, span_hashes, spans, text_chunks
+from .common import LOWER, SPACE, U64, bucket_blobs, free_name, mix, read_blobs, ship, shuffle_parts, span_hashes, spans, text_chunks
 
 LONG = 64
 
 
+#: What an entry of a bucket has beside the low bytes of its hash.
+ENTRY = np.dtype([("check", "<u8"), ("doc", "<i8"), ("place", "<i8"), ("size", "<u4")])
+
+
 def runs_of(data: np.ndarray, offsets: np.ndarray, min_words: int, min_sentences: int):
-    """Row, hash, first and end code point of every run."""
+    """Row, two hashes, first and end code point of every run."""
     low = LOWER[data]
     start, end, row = spans(~SPACE[low], offsets)
     n = len(start)
     z = np.zeros(0, np.int64)
     if not n:
-        return z, z.view(U64), z, z
+        return z, z.view(U64), z.view(U64), z, z
     h = span_hashes(low, start, end)
     last = low[end - 1]
     stops = (last == 46) | (last == 33) | (last == 63)
@@ -68,25 +73,26 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, min_words: int, min_sentences
     me, stop = np.r_[me[good], back[more]], np.r_[stop[good], me[more] + 1]
     a, b = open_[me], close[stop - 1] + 1  # words
     common._powers(n + 1)
-    sums = np.zeros(n + 1, U64)
-    np.cumsum(h * common._POW[:n], out=sums[1:])
-    run = mix((sums[b] - sums[a]) * common._INV[a] + (b - a).astype(U64))
+    runs = []
+    for words in (h, mix(h ^ U64(0x5851F42D4C957F2D))):
+        sums = np.zeros(n + 1, U64)
+        np.cumsum(words * common._POW[:n], out=sums[1:])
+        runs.append(mix((sums[b] - sums[a]) * common._INV[a] + (b - a).astype(U64)))
     points = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     base = points[offsets[srow[me]]]
-    return srow[me], run, points[start[a]] - base, points[end[b - 1]] - base
+    return srow[me], *runs, points[start[a]] - base, points[end[b - 1]] - base
 
 
-def _later(keys: np.ndarray, doc: np.ndarray, place: np.ndarray):
-    """Order of distinct entries by (key, doc, place), and which of them are not the first of theirs."""
-    order = np.lexsort((place, doc, keys))
-    keys, doc, place = keys[order], doc[order], place[order]
+def _later(keys: np.ndarray, check: np.ndarray, doc: np.ndarray, place: np.ndarray):
+    """Order of distinct entries by (run, doc, place), and which of them are not the first of theirs."""
+    order = np.lexsort((place, doc, check, keys))
+    keys, check, doc, place = keys[order], check[order], doc[order], place[order]
     same_key = np.zeros(len(keys), bool)
-    same_key[1:] = keys[1:] == keys[:-1]
+    same_key[1:] = (keys[1:] == keys[:-1]) & (check[1:] == check[:-1])
     again = same_key.copy()
     again[1:] &= (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
-    order, same_key = order[~again], same_key[~again]
-    return order, same_key
+    return order[~again], same_key[~again]
 
 
 HITS = "bucket int, keys binary, ids binary, doc_id long, first long, stop long"
@@ -108,15 +114,17 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             got = []
             for first, end, data, offsets in text_chunks(b.column("text")):
-                row, run, start, stop = runs_of(data, offsets, min_words, min_sentences)
-                got.append((run, ids[first:end][row], start, stop))
+                row, run, check, start, stop = runs_of(data, offsets, min_words, min_sentences)
+                got.append((run, check, ids[first:end][row], start, stop))
             if not got:
                 continue
-            run, doc, start, stop = (np.concatenate(x) for x in zip(*got, strict=True))
-            order, later = _later(run, doc, start)
-            blobs = bucket_blobs(run[order[~later]], np.stack([doc, start << 32 | (stop - start)], 1)[order[~later]], buckets)
-            hit = order[later]
-            n, m = blobs.num_rows, len(hit)
+            run, check, doc, start, stop = (np.concatenate(x) for x in zip(*got, strict=True))
+            order, later = _later(run, check, doc, start)
+            rows = np.zeros(int((~later).sum()), ENTRY)
+            for name, x in (("check", check), ("doc", doc), ("place", start), ("size", stop - start)):
+                rows[name] = x[order[~later]]
+            blobs = bucket_blobs(run[order[~later]], rows, buckets)
+            hit, n = order[later], blobs.num_rows
             doc, start, stop = _merge(doc[hit], start[hit], stop[hit])
             m = len(doc)
             nulls = lambda k, t: pa.nulls(k, t)
@@ -137,9 +145,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             if known.num_rows:
                 yield known.select(["doc_id", "first", "stop"])
             held.append(b.filter(b.column("keys").is_valid()).select(["bucket", "keys", "ids"]))
-        keys, ids = read_blobs(held, 2)
-        doc, start, stop = ids[:, 0], ids[:, 1] >> 32, (ids[:, 1] >> 32) + (ids[:, 1] & 0xFFFFFFFF)
-        order, later = _later(keys, doc, start)
+        keys, rows = read_blobs(held, kind=ENTRY)
+        check, doc, start = (np.ascontiguousarray(rows[c]) for c in ("check", "doc", "place"))
+        stop = start + rows["size"]
+        order, later = _later(keys, check, doc, start)
         hit = order[later]
         if len(hit):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _merge(doc[hit], start[hit], stop[hit])], names=["doc_id", "first", "stop"])
@@ -176,11 +185,12 @@ def _merge(doc: np.ndarray, start: np.ndarray, stop: np.ndarray):
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without the sentences that repeat; all other columns stay."""
-    found = repeated_spans(docs, doc_id, text, **options).withColumnsRenamed({"doc_id": "__id", "starts": "__starts", "ends": "__ends"})
+    own, starts, ends = (free_name(docs, c) for c in ("__id", "__starts", "__ends"))
+    found = repeated_spans(docs, doc_id, text, **options).withColumnsRenamed({"doc_id": own, "starts": starts, "ends": ends})
     body = F.col(text)
     # what stands between one span's end and the next one's start
-    opens = F.concat(F.array(F.lit(0).cast("long")), "__ends")
-    closes = F.concat("__starts", F.array(F.length(body).cast("long")))
+    opens = F.concat(F.array(F.lit(0).cast("long")), ends)
+    closes = F.concat(starts, F.array(F.length(body).cast("long")))
     parts = F.zip_with(opens, closes, lambda a, b: F.substring(body, (a + 1).cast("int"), (b - a).cast("int")))
-    out = docs.join(found, docs[doc_id] == F.col("__id"), "left")
-    return out.withColumn(text, F.when(F.col("__id").isNull(), body).otherwise(F.array_join(parts, ""))).drop("__id", "__starts", "__ends")
+    out = docs.join(found, docs[doc_id] == F.col(own), "left")
+    return out.withColumn(text, F.when(F.col(own).isNull(), body).otherwise(F.array_join(parts, ""))).drop(own, starts, ends)
