@@ -1,6 +1,7 @@
 """Exact n-gram Jaccard join: a blocked sparse product of the document by n-gram incidence.
 
-1. Every text becomes its set of distinct word n-grams (64-bit hashes). Equal sets are one node.
+1. Every text becomes its set of distinct word n-grams (64-bit hashes). Equal sets are one node, by a
+   hash of 58 bits; where a second one of 64 bits shows that unequal sets share it, they get another.
 2. A link needs num / den of either set, so that of each set's n-grams, in any one order, the first
    n - ceil(n * num / den) + 1 must share one. These are the keys. The order puts n-grams first that
    few documents hold, by counts in a table of fixed size, so that passages which many texts share
@@ -71,14 +72,26 @@ def size_classes(num: int, den: int) -> np.ndarray:
     return np.array([x for x in low if x < 1 << 62], np.int64)
 
 
-def set_keys(grams: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """One hash of each whole set, as a signed long: 6 bits of size class, 58 of hash."""
-    some = sizes > 0
+def set_sums(grams: np.ndarray, sizes: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each whole set."""
     out = np.zeros(len(sizes), U64)
     if len(grams):
-        out[some] = np.add.reduceat(mix(grams), (np.cumsum(sizes) - sizes)[some])
-    level = np.maximum(np.searchsorted(low, sizes, "right") - 1, 0).astype(U64)
-    return (level << U64(58) | mix(out + sizes.astype(U64)) >> U64(6)).view(np.int64)
+        some = sizes > 0
+        out[some] = np.add.reduceat(mix(grams ^ U64(salt)), (np.cumsum(sizes) - sizes)[some])
+    return mix(out + sizes.astype(U64))
+
+
+CHECK = 0x6A09E667F3BCC909
+
+
+def set_keys(grams: np.ndarray, sizes: np.ndarray, low: np.ndarray, clashes: np.ndarray) -> np.ndarray:
+    """The node of each set, as a signed long: 6 bits of size class, 58 of a hash. Sets whose nodes are
+    among the ``clashes``, which unequal sets share, take a second hash."""
+    level = np.maximum(np.searchsorted(low, sizes, "right") - 1, 0).astype(U64) << U64(58)
+    out = (level | set_sums(grams, sizes, 0) >> U64(6)).view(np.int64)
+    if len(clashes) and (again := np.isin(out, clashes)).any():
+        out[again] = (level | set_sums(grams, sizes, CHECK) >> U64(6)).view(np.int64)[again]
+    return out
 
 
 def class_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,25 +228,31 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 grams, sizes = ngram_sets(data, offsets, n)
                 at, times = np.unique(slots(grams), return_counts=True)
                 held[at] = np.minimum(held[at] + times, 65535)
-                columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes, low))]
+                columns = [ids.slice(first, end - first), pa.array(sizes, pa.int64()), pa.array(set_keys(grams, sizes, low, none)), pa.array(set_sums(grams, sizes, CHECK).view(np.int64))]
                 nothing = [pa.nulls(end - first, pa.int32()), pa.nulls(end - first, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*columns, *nothing], names=names)
         blocks = held.reshape(-1, SLOT_BLOCK)
         some = np.flatnonzero(blocks.any(1))
-        nothing = [pa.nulls(len(some), pa.int64())] * 3
+        nothing = [pa.nulls(len(some), pa.int64())] * 4
         yield pa.RecordBatch.from_arrays([*nothing, pa.array(some, pa.int32()), pa.array([zlib.compress(blocks[k].tobytes(), 1) for k in some], pa.binary())], names=names)
 
-    names = ["doc_id", "n_shingles", "node", "slot_block", "held"]
-    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, slot_block int, held binary"))
+    names, none = ["doc_id", "n_shingles", "node", "checked", "slot_block", "held"], np.zeros(0, np.int64)
+    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, checked long, slot_block int, held binary"))
     order = spark.sparkContext.broadcast(counted(table))
-    table = table.where("held IS NULL").select("doc_id", "n_shingles", "node")
+    table = table.where("held IS NULL").select("doc_id", "n_shingles", "node", "checked")
+    # unequal sets of one hash: none below 10^8 documents, some hundreds at 10^10
+    clash = table.where("n_shingles > 0").groupBy("node").agg(F.min("checked").alias("a"), F.max("checked").alias("b")).where("a <> b").select("node")
+    clashes = np.array(sorted(r["node"] for r in clash.collect()), np.int64)
+    if len(clashes):
+        level = F.shiftleft(F.shiftrightunsigned("node", 58), 58)
+        table = table.join(clash.withColumn("clashes", F.lit(True)), "node", "left").withColumn("node", F.when(F.col("clashes"), level.bitwiseOR(F.shiftrightunsigned("checked", 6))).otherwise(F.col("node")))
 
     def keys_of(batches):
         for b in batches:
             keys, nodes, known = [], [], set()
             for _, _, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                node = set_keys(grams, sizes, low)
+                node = set_keys(grams, sizes, low, clashes)
                 fresh = np.zeros(len(node), bool)  # copies within a batch send their keys once
                 for k, x in enumerate(node.tolist()):
                     if sizes[k] and x not in known:
@@ -250,11 +269,17 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     edges = cut(edges.distinct())
     release(spark)
     near = _row_groups(edges, 2 * block_rows)
-    linked = _verified(spark, src, near, _speakers(table, near), n, num, den, block_rows)
-    joined = table.join(linked, "node", "left").withColumn("k", F.coalesce("root", "node"))
-    least = joined.where("n_shingles > 0").groupBy("k").agg(F.min("doc_id").alias("least"))
-    own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return joined.join(least, "k", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    some, empty = table.where("n_shingles > 0"), table.where("n_shingles = 0")
+    linked = _verified(spark, src, near, _speakers(some, near), n, num, den, block_rows, clashes)
+    # the smallest id of each set, then of each component, found over sets and not over documents
+    least = cut(some.groupBy("node").agg(F.min("doc_id").alias("least")))
+    joined = cut(linked.join(least, "node"))
+    roots = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
+    roots = cut(joined.join(roots, "root").select("node", "component_id"))
+    owner = cut(least.join(roots, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
+    release(spark)
+    out = some.select("doc_id", "n_shingles", "node").join(owner, "node").select("doc_id", "n_shingles", "component_id")
+    return out.unionAll(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def _row_groups(edges: DataFrame, most: int) -> DataFrame:
@@ -280,7 +305,7 @@ def _speakers(table: DataFrame, near: DataFrame) -> DataFrame:
     return least.select(F.col("node").bitwiseXOR(F.col("least")).alias("h"))
 
 
-def _verified(spark, src: DataFrame, near: DataFrame, speakers: DataFrame, n: int, num: int, den: int, block_rows: int) -> DataFrame:
+def _verified(spark, src: DataFrame, near: DataFrame, speakers: DataFrame, n: int, num: int, den: int, block_rows: int, clashes: np.ndarray) -> DataFrame:
     """Components of the true links among the nodes of the row groups. Of equal sets only the
     document of the smallest id sends its n-grams."""
     bits, low = spark.sparkContext.broadcast(key_filter(speakers, "h")), size_classes(num, den)
@@ -290,7 +315,7 @@ def _verified(spark, src: DataFrame, near: DataFrame, speakers: DataFrame, n: in
             ids = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in text_chunks(b.column("text")):
                 grams, sizes = ngram_sets(data, offsets, n)
-                node = set_keys(grams, sizes, low)
+                node = set_keys(grams, sizes, low, clashes)
                 ends, few = np.cumsum(sizes), grams.view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
                 some = np.flatnonzero(in_filter(bits.value, node ^ ids[first:end]) & (sizes > 0))
                 some = some[np.unique(node[some], return_index=True)[1]]
