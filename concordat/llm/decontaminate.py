@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ship, shuffle_parts, span_hashes, spans, text_chunks
+from .common import cut, free_name, ship, shuffle_parts, span_hashes, spans, text_chunks
 
 PASSAGE = 64
 RANK = 96
@@ -374,5 +374,6 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents that hold no item of the benchmark; documents without an id stay."""
-    found = leaks(docs, benchmark, doc_id, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs[doc_id] == F.col("__id"), "left_anti")
+    own = free_name(docs, "__id")
+    found = leaks(docs, benchmark, doc_id, **options).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(found, docs[doc_id] == F.col(own), "left_anti")

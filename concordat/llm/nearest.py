@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, shuffle_parts
+from .common import U64, mix, ship, shuffle_parts
 
 QUERY_BLOCK = 4096
 ROWS = 2048
@@ -137,7 +137,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
                 out += [(dim, qb, where, 1, own.tobytes(), m.tobytes()) for qb in range(blocks)]
             if asked.any():
                 for dim, own, m in matrices(b.column("v").filter(pa.array(asked)), ids[asked]):
-                    side = own // 100 % blocks if blocks > 1 else np.zeros(len(own), np.int64)
+                    side = (mix(own.view(U64)) % U64(blocks)).astype(np.int64)
                     for qb in np.unique(side).tolist():
                         s = side == qb
                         out += [(dim, qb, cg, 0, own[s].tobytes(), m[s].tobytes()) for cg in range(groups)]
