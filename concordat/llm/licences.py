@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, ship, span_hashes, spans, text_chunks
+from .common import LOWER, column_types, ship, span_hashes, spans, text_chunks
 
 TOP = 12
 SHIFT = 3
@@ -153,7 +153,7 @@ def scan_licences(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(*keep, docs[text].cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    schema = column_types(src, -1)
 
     def count(batches):
         index = Index()
@@ -175,7 +175,7 @@ def scan_licences(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         index, weight = Index(), np.array(idf)
         for b in batches:
             cols = [[] for _ in range(7)]
-            for _, _, data, offsets in text_chunks(b.column("__text")):
+            for _, _, data, offsets in text_chunks(b.column(b.num_columns - 1)):
                 words, row = tokens(data, offsets, index)
                 n = len(offsets) - 1
                 per = np.bincount(row, minlength=n)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship, strings
+from .common import column_types, ship, strings
 
 SPACE_MARK = "▁"
 NONE = np.int32(1 << 30)
@@ -218,13 +218,13 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[st
     """
     ship(docs.sparkSession)
     src = docs.select(*keep, docs[text].cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    schema = column_types(src, -1)
     schema += ", n_tokens long, " + ("token_ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string")
 
     def run(batches):
         model, cache = load(path), {}
         for b in batches:
-            texts = strings(b.column("__text"))
+            texts = strings(b.column(b.num_columns - 1))
             at = 0
             while at < len(texts):  # about 2 million characters at once, whole texts
                 end, size = at, 0

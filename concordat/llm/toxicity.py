@@ -11,13 +11,16 @@
 
 Only the text is an input. Labels are read of rows that ``is_train`` admits, at most ``sample`` of
 them, those of the smallest hash of doc_id. Null, empty and blank texts have no feature and get the
-score that the regression gives to none. Without any label, or with one class only, every score is
+score that the regression gives to none. A column of ``keep`` may have any name, but one named
+"score" or "doc_id" stands beside those of the result. Without any label, or with one class only, every score is
 the share of toxic labels, 0 without labels. Repeated rows give equal results.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, mix, ship, span_hashes, spans, text_chunks
+from .common import LOWER, U64, column_types, cut, mix, ship, span_hashes, spans, text_chunks
 
 SAMPLE = 24_000
-CANDIDATES = 50_000
-FEATURES = 4_096
 CLASSES = 28
 
 _CLASS = np.zeros(256, np.int64)
@@ -43,18 +44,71 @@ SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 SIGN_COST, KEEP_COST, DROP_COST, REPEAT_COST = 1.0, 2.5, 2.0, 0.7
 
 _SIGN = "".join(c if c.isalnum() or c == "€" else "\\" + c for c in SIGNS)
-_UNIT, _NEXT = rf"(?:[^\W\d_]|[{_SIGN}])", r"[ .\-_*]"
-DISGUISED = re.compile(
-    # single letters and signs set apart, three or more, one of them a letter
-    rf"(?<![^\W_])(?:[^\W\d_](?:{_NEXT}{_UNIT}(?![^\W_])){{2,}}"
-    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}](?![^\W_]))*{_NEXT}[^\W\d_](?![^\W_])(?:{_NEXT}{_UNIT}(?![^\W_]))+"
-    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}](?![^\W_]))+{_NEXT}[^\W\d_](?![^\W_]))"
-    rf"|[^\s]*(?:[^\W\d_][{_SIGN}]{{1,3}}(?:[^\W\d_]|(?!\w))|(?<![^\s])[{_SIGN}][^\W\d_])[^\s]*"  # signs between, after or before letters
-    rf"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"  # a letter three times
+_UNIT, _NEXT, _APART = rf"(?:[^\W\d_]|[{_SIGN}])", r"[ .\-_*]", r"(?![^\W_])"
+#: Single letters and signs set apart, three or more, one of them a letter. A run of signs is tried
+#: from its first sign only: what follows it decides, so that later signs can't do better.
+_SET_APART = (
+    rf"[^\W\d_](?:{_NEXT}{_UNIT}{_APART}){{2,}}"
+    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}]{_APART})*{_NEXT}[^\W\d_]{_APART}(?:{_NEXT}{_UNIT}{_APART})+"
+    rf"|[{_SIGN}](?:{_NEXT}[{_SIGN}]{_APART})+{_NEXT}[^\W\d_]{_APART}"
 )
+SET_APART = re.compile(rf"(?<![^\W_])(?!(?<=[{_SIGN}]{_NEXT})(?<!\w[{_SIGN}]{_NEXT})[{_SIGN}])(?:{_SET_APART})")
+SET_APART_HERE = re.compile(rf"(?<![^\W_])(?:{_SET_APART})")
+#: Where signs stand between, after or before letters, and where a letter stands three times.
+SIGNED = re.compile(rf"(?=[^\W\d_][{_SIGN}]{{1,3}}(?:[^\W\d_]|(?!\w))|(?<![^\s])[{_SIGN}][^\W\d_])")
+TRIPLE = re.compile(r"(?=([^\W\d_])\1\1)")
+BLANK, NO_LETTER = re.compile(r"\s"), re.compile(r"[\W\d_]")
 SPACED = re.compile(rf"[^\W\d_](?:{_NEXT}[^\W\d_])+|{_UNIT}(?:{_NEXT}{_UNIT}){{2,}}")
 #: What is neither letter, digit nor sign at the edges of a stretch stands for nothing.
-EDGES = re.compile(rf"([^\w{_SIGN}]*)(.*?)([^\w{_SIGN}]*)", re.S)
+INNER = re.compile(rf"[\w{_SIGN}]")
+
+
+class Runs:
+    """The runs of a text between separators that hold a mark: where each ends, and its last mark."""
+
+    def __init__(self, text: str, mark: re.Pattern, separator: re.Pattern):
+        self.runs: list[tuple[int, int, int]] = []
+        marks = [m.start() for m in mark.finditer(text)]
+        cuts = [m.start() for m in separator.finditer(text)] if marks else []
+        for at in marks:
+            if self.runs and at < self.runs[-1][1]:
+                self.runs[-1] = (*self.runs[-1][:2], at)
+            else:
+                k = bisect.bisect_left(cuts, at)
+                self.runs.append((cuts[k - 1] + 1 if k else 0, cuts[k] if k < len(cuts) else len(text), at))
+        self.at = 0
+
+    def next(self, pos: int) -> tuple[int, int]:
+        """Start and end of the first stretch from ``pos`` on: from there, or the run's start, to its end."""
+        while self.at < len(self.runs) and self.runs[self.at][2] < pos:
+            self.at += 1
+        if self.at == len(self.runs):
+            return FAR, FAR
+        start, end, _ = self.runs[self.at]
+        return max(pos, start), end
+
+
+FAR = 1 << 62
+
+
+def disguised(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches that may be disguised, leftmost first: letters and signs set apart, then what holds
+    signs beside letters, then words with a letter three times. Linear in the text."""
+    signed, triple, pos = Runs(text, SIGNED, BLANK), Runs(text, TRIPLE, NO_LETTER), 0
+    far = SET_APART.search(text, pos)
+    while True:
+        if far is not None and far.start() < pos:
+            far = SET_APART.search(text, pos)
+        apart = next((m for k in (0, 1) if (m := SET_APART_HERE.match(text, pos + k))), far)
+        found = [(apart.start(), 0, apart.end())] if apart else []
+        for n, runs in ((1, signed), (2, triple)):
+            a, b = runs.next(pos)
+            found.append((a, n, b))
+        start, _, end = min(found)
+        if start == FAR:
+            return
+        yield start, end
+        pos = end
 
 
 class CharModel:
@@ -84,9 +138,10 @@ class CharModel:
             else:
                 units.append([(c, 0.0)])
             at += n
-        best = {0: (0.0, "")}  # by the classes of the last two characters
-        for options in [*units, [("", 0.0)]]:
-            new: dict[int, tuple[float, str]] = {}
+        # by the classes of the last two characters: cost, and the pieces as a chain
+        best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+        for options in units:
+            new: dict[int, tuple[float, tuple | None]] = {}
             for state, (cost, out) in best.items():
                 for piece, more in options:
                     s, total = state, cost + more
@@ -94,30 +149,53 @@ class CharModel:
                         k = ord(x.lower()) - 96 if "a" <= x.lower() <= "z" else 27 if x > "\x7f" else 0
                         total += self.cost[s, k]
                         s = s % CLASSES * CLASSES + k
-                    if s not in new or (total, out + piece) < new[s]:
-                        new[s] = (total, out + piece)
+                    if s not in new or total < new[s][0]:
+                        new[s] = (total, (piece, out))
             best = new
-        return min((cost + self.cost[s, 0], out) for s, (cost, out) in best.items())[1]
+        chain, parts = min(((cost + self.cost[s, 0], s, out) for s, (cost, out) in best.items()), key=lambda x: x[:2])[2], []
+        while chain is not None:
+            parts.append(chain[0])
+            chain = chain[1]
+        return "".join(reversed(parts))
 
 
 class Restorer:
-    """Restores texts; remembers stretches that it has seen."""
+    """Restores texts; remembers short stretches that it has seen."""
 
     def __init__(self, counts: np.ndarray):
         self.model, self.seen = CharModel(counts), {}
 
-    def _one(self, m: re.Match) -> str:
-        raw = m[0]
-        core = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", raw) if not raw[-1].isalnum() or not raw[0].isalnum() else raw
-        if raw not in self.seen:
+    def stretch(self, raw: str) -> str:
+        """A stretch without repeated marks at its ends, and with what stands between them restored."""
+        if raw in self.seen:
+            return self.seen[raw]
+        core = raw
+        if _mark(core[0]) and core[1:2] == core[0]:
+            core = core.lstrip(core[0])
+        if core and _mark(core[-1]) and core[-2:-1] == core[-1]:
+            core = core.rstrip(core[-1])
+        first, last = INNER.search(core), len(core)
+        if first is None:
+            return core
+        while not INNER.match(core, last - 1):
+            last -= 1
+        out = core[: first.start()] + self.model.restore(core[first.start() : last]) + core[last:]
+        if len(raw) <= 64:
             if len(self.seen) > 50_000:
                 self.seen.clear()
-            head, inner, tail = EDGES.fullmatch(core).groups()
-            self.seen[raw] = head + self.model.restore(inner) + tail
-        return self.seen[raw]
+            self.seen[raw] = out
+        return out
 
     def __call__(self, text: str) -> str:
-        return DISGUISED.sub(self._one, text)
+        out, at = [], 0
+        for a, b in disguised(text):
+            out += [text[at:a], self.stretch(text[a:b])]
+            at = b
+        return "".join([*out, text[at:]])
+
+
+def _mark(c: str) -> bool:
+    return not (c.isalnum() or c == "_" or c.isspace())
 
 
 def features(texts: pa.Array):
@@ -202,15 +280,19 @@ def char_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-#: A quick test that stops no text that DISGUISED would change, but for letters repeated three times.
-MAYBE = rf"\pL[{_SIGN}]{{1,3}}(?:\pL|$|[^\pL\pN_])|(?:^|\s)[{_SIGN}]\pL|(?:^|[^\pL\pN])[\pL{_SIGN}][ .\-_*][\pL{_SIGN}][ .\-_*][\pL{_SIGN}](?:$|[^\pL\pN])"
+#: A quick test that stops no text that ``disguised`` would change, but for letters repeated three
+#: times. The two engines differ in what they call a letter or a space beyond ASCII, so that here any
+#: such character counts as whichever would let the text through.
+_ANY, _OPEN, _CLOSE = "[A-Za-z\\x{80}-\\x{10FFFF}]", "(?:^|[^A-Za-z0-9])", "(?:$|[^A-Za-z0-9])"
+_ONE = f"[A-Za-z\\x{{80}}-\\x{{10FFFF}}{_SIGN}]"
+MAYBE = rf"{_ANY}[{_SIGN}]{{1,3}}(?:{_ANY}|$|[^A-Za-z0-9_])|(?:^|[\x00-\x20\x{{80}}-\x{{10FFFF}}])[{_SIGN}]{_ANY}|{_OPEN}{_ONE}{_NEXT}{_ONE}{_NEXT}{_ONE}{_CLOSE}"
 
 
 def suspicious(texts: pa.Array) -> np.ndarray:
     """Mask of the rows that may hold a disguised stretch."""
     out = np.array(pc.match_substring_regex(texts, MAYBE))
     for first, _, data, offsets in text_chunks(texts):
-        for n in (1, 2, 3):  # bytes of a letter
+        for n in (1, 2, 3, 4):  # bytes of a letter
             if len(data) < 3 * n:
                 continue
             same = data[:-n] == data[n:]
@@ -224,7 +306,7 @@ def suspicious(texts: pa.Array) -> np.ndarray:
 
 
 def _restored(batch, restorer: Restorer) -> pa.Array:
-    texts = batch.column("__text").fill_null("")
+    texts = batch.column(batch.num_columns - 1).fill_null("")
     mask = suspicious(texts)
     if not mask.any():
         return texts
@@ -238,7 +320,7 @@ def fit(texts: DataFrame, labels: DataFrame, is_train: Column, sample: int = SAM
     chosen = labels.where(is_train & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = texts.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids and labels
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half")
-    rows = rows.select(F.col("toxic").cast("int").alias("toxic"), half, "__text")
+    rows = cut(rows.select(F.col("toxic").cast("int").alias("toxic"), half, "__text"))  # read three times
 
     def positive(batches):
         restorer = Restorer(counts)
@@ -248,7 +330,7 @@ def fit(texts: DataFrame, labels: DataFrame, is_train: Column, sample: int = SAM
             h, n = np.unique(np.concatenate([np.zeros(0, U64), *got]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
-    found = rows.mapInArrow(positive, "h long, n long").where("h <> 0").groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "h").limit(CANDIDATES).collect()
+    found = rows.mapInArrow(positive, "h long, n long").where("h <> 0").groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3").collect()  # bounded as the sample is
     hashes, pos = np.array([r["h"] for r in found], np.int64).view(U64), np.array([r["n"] for r in found], float)
 
     def others(batches):
@@ -272,7 +354,6 @@ def fit(texts: DataFrame, labels: DataFrame, is_train: Column, sample: int = SAM
     weight = np.log((pos + 0.5) / (p + 1)) - np.log((neg + 0.5) / (n + 1))
     error = np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
     strong = np.flatnonzero((weight > 1) & (weight > 2.5 * error))
-    strong = strong[np.lexsort((hashes[strong], -(weight / error)[strong]))][:FEATURES]
     hashes, weight = hashes[strong], weight[strong] - error[strong]
 
     def measure(batches):
@@ -298,8 +379,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, is_train: Column, doc_id:
     """(doc_id, keep, score) of every document; ``is_train`` is a condition on labels' doc_id."""
     spark = docs.sparkSession
     ship(spark)
-    src = docs.select(docs[doc_id].cast("long").alias("doc_id"), *keep, docs[text].cast("string").alias("__text"))
-    model = fit(src.select("doc_id", "__text"), labels, is_train, sample)
+    src = docs.select(docs[doc_id].cast("long").alias("doc_id"), *[docs[c] for c in keep], docs[text].cast("string").alias("__text"))
+    plain = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("__text"))
+    model = fit(plain, labels, is_train, sample)
     held = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -312,8 +394,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, is_train: Column, doc_id:
                 score[first:end] = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], names=[*b.schema.names[:-1], "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, schema + ", score double")
+    return src.mapInArrow(run, column_types(src, -1) + ", score double")
 
 
 def held_out(doc_id: Column) -> Column:
