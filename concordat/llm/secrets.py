@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship, strings
+from .common import column_types, ship, strings
 from .spans import digest, joined
 
 BASE = ("assign", "access", "hex")
@@ -45,8 +45,10 @@ ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
-ESCAPED = re.compile(r"[^\s\\&]*(?:(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&[A-Za-z]{2,31};)[^\s\\&]*)+")
+#: Runs with escapes, from their first escape on; what stands before it in the run is found backwards.
+ONE_PERCENT, PERCENTS = re.compile("%[0-9A-Fa-f]{2}"), re.compile(r"(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+_REFERENCE = r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&[A-Za-z]{2,31};)"
+ONE_REFERENCE, REFERENCES = re.compile(_REFERENCE), re.compile(rf"(?:{_REFERENCE}[^\s\\&]*)+")
 ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|&([A-Za-z]{2,31};)")
 #: The shortest secret, an assignment of 14 characters, needs 19 characters of base64.
 BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{19,}|[A-Za-z0-9_-]{19,})={0,2}")
@@ -259,11 +261,11 @@ def unbase64(text: str, first: np.ndarray, last: np.ndarray):
 def encoded(text: str):
     """Encoded regions of a layer: start, end, decoder."""
     if "%" in text:
-        for m in PERCENT.finditer(text):
-            yield m.start(), m.end(), unpercent
+        for a, b in escaped_runs(text, ONE_PERCENT, PERCENTS, "%"):
+            yield a, b, unpercent
     if "\\" in text or "&" in text:
-        for m in ESCAPED.finditer(text):
-            yield m.start(), m.end(), unescape
+        for a, b in escaped_runs(text, ONE_REFERENCE, REFERENCES, "\\&"):
+            yield a, b, unescape
     for m in BASE64.finditer(text):
         if HINTS.search(m[0]):
             yield m.start(), m.end(), unbase64
@@ -274,6 +276,18 @@ def encoded(text: str):
                     yield m.start() + a, m.start() + b, unwrapped
 
 
+def escaped_runs(text: str, one: re.Pattern, run: re.Pattern, openers: str) -> Iterator[tuple[int, int]]:
+    """Runs without white space that hold escapes, each from what stands before its first escape to
+    where an opener follows that opens none; every character is read a fixed number of times."""
+    after = 0
+    while m := one.search(text, after):
+        start = m.start()
+        while start > after and text[start - 1] not in openers and not text[start - 1].isspace():
+            start -= 1
+        after = run.match(text, m.start()).end()
+        yield start, after
+
+
 def wrapped_runs(text: str, whole: bool) -> Iterator[tuple[int, int]]:
     """Runs of lines of one width in lines of base64, with a shorter line at the end and without,
     and with the end of a line before them and without unless the first line is ``whole``."""
@@ -334,12 +348,12 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     """Counts and digest of the base spans, and all spans, of each whole text."""
     ship(docs.sparkSession)
     src = docs.select(*keep, docs[text].cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    schema = column_types(src, -1)
 
     def run(batches):
         for b in batches:
             rows = []
-            for t in strings(b.column("__text")):
+            for t in strings(b.column(b.num_columns - 1)):
                 base, extra = find_secrets(t)
                 own = joined(base, KINDS)
                 rows.append((*(sum(k == x[0] for x in base) for k in BASE), digest(own), joined(base + extra, KINDS) if extra else own))
