@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm.common import checkpoint_folder, cut
+from concordat.llm.common import checkpoint_folder, cut, free_name
 from concordat.llm.decontaminate import decontaminated
 from concordat.llm.fuzzy_lines import dedup_lines
 from concordat.llm.ngram_join import ngram_components
@@ -24,9 +24,10 @@ from concordat.llm.toxicity import held_out, score_toxicity
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the others go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    scored = score_toxicity(docs, labels, ~held_out(F.col("doc_id")), keep=("text", *others))
-    return scored.where("score < 0.5").select(*docs.columns)
+    kept = {c: f"__kept{n}" for n, c in enumerate(docs.columns)}  # columns of any name, "score" too
+    rows = docs.select("doc_id", "text", *[docs[c].alias(k) for c, k in kept.items()])
+    scored = score_toxicity(rows, labels, ~held_out(F.col("doc_id")), keep=tuple(kept.values()))
+    return scored.where("score < 0.5").select(*[F.col(k).alias(c) for c, k in kept.items()])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +42,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Each row without a doc_id is a document of its own, after all others: it stays unless its group
     has a document with an id, or an earlier one without.
     """
-    number = (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("__row")
+    row = free_name(docs, "__row")
+    number = (F.lit(1 << 62) + F.monotonically_increasing_id()).alias(row)
     nameless = cut(docs.where("doc_id is null").select("*", number))  # numbered once
-    rows = docs.where("doc_id is not null").select("*", F.col("doc_id").cast("long").alias("__row")).unionAll(nameless)
-    groups = ngram_components(rows, doc_id="__row", n=5, num=80, den=100)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return rows.join(kept, rows["__row"] == F.col("__kept"), "left_semi").select(*docs.columns)
+    rows = docs.where("doc_id is not null").select("*", F.col("doc_id").cast("long").alias(row)).unionAll(nameless)
+    groups = ngram_components(rows, doc_id=row, n=5, num=80, den=100)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
