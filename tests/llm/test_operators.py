@@ -292,7 +292,8 @@ def planted_private(seed, count):
     rows = []
     for k in range(count):
         digits = "".join(rng.choice("123456789") for _ in range(11))
-        card = next(c for c in (f"4{rng.randrange(10**14):014d}{x}" for x in range(10)) if private_data.luhn(c))
+        body = f"4{rng.randrange(10**14):014d}"
+        card = next(body + str(x) for x in range(10) if private_data.luhn(body + str(x)))
         value, kind = [
             (f"{word()}.{word()} (at) {word()} (dot) org", "email"),
             (f"{word()}[at]{word()}[dot]com", "email"),
@@ -318,7 +319,8 @@ def test_private_data_beyond_the_patterns(spark):
     word = lambda: "".join(rng.choice("abcdefghiklmnoprstuw") for _ in range(rng.randrange(3, 8)))
     plain = []
     for k in range(1200):
-        card = next(c for c in (f"4{rng.randrange(10**14):014d}{x}" for x in range(10)) if private_data.luhn(c))
+        body = f"4{rng.randrange(10**14):014d}"
+        card = next(body + str(x) for x in range(10) if private_data.luhn(body + str(x)))
         value = [f"{word()}.{word()}@{word()}.com", ".".join(str(rng.randrange(256)) for _ in range(4)), card, f"+{rng.randrange(1, 99)} {rng.randrange(100, 999)} {rng.randrange(10**6):06d}", str(rng.randrange(10**5)), f"{rng.randrange(31)}.{rng.randrange(12)}.20{rng.randrange(10, 30)}"][k % 6]
         plain.append((k, " ".join(word() for _ in range(20)) + " " + value + " " + " ".join(word() for _ in range(20))))
     asked = planted_private(12, 480)
