@@ -4,7 +4,7 @@ import json
 import os
 import time
 
-from concordat.plans.queries import QUERIES
+from concordat.plans.catalog import QUERIES
 from concordat.session import session
 
 NAMES = ("score_compare", "flow_priorities", "contributions", "consensus_derive", "restated", "differences_long", "coverage_gaps", "census_pairs", "carry_down", "collision_settle", "alias_cascade", "scored_select", "quorum_vote", "match_strength", "dedupe_survivor", "facets", "release_diff", "release_fates", "redirect_closure", "pivot_wide", "token_search", "entity_owner")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, shuffle_parts
+
 
 def survivors(rows: DataFrame, signature: list[str], rank: list[Column], row: str) -> DataFrame:
     """(row, survivor, members): of rows with one signature the first by rank survives.
@@ -13,7 +15,9 @@ def survivors(rows: DataFrame, signature: list[str], rank: list[Column], row: st
     signature of any number of rows needs no sort in one task.
     """
     best = rows.groupBy(*signature).agg(F.min(F.struct(*[c.alias(f"r{n}") for n, c in enumerate(rank)], F.col(row).alias("s"))).alias("b"), F.count(F.lit(1)).alias("members"))
-    return rows.join(best, signature).select(F.col(row), F.col("b.s").alias("survivor"), "members")
+    # dealt anew, so that adaptive execution may split a signature that a large part of the rows has
+    best = best.select(*signature, F.col("b.s").alias("survivor"), "members").repartition(shuffle_parts(rows))
+    return rows.join(best, signature).select(F.col(row), "survivor", "members")
 
 
 def collisions(rows: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
@@ -34,25 +38,23 @@ def spread(rows: DataFrame, key: list[str], side: str, amount: str) -> DataFrame
     return g.where("sides > 1").withColumn("spread", F.col("hi") / F.col("lo") - 1)
 
 
-def closure(edges: DataFrame, node: str, target: str, view: str = "redirect_edges", depth: int = 90) -> DataFrame:
-    """(node, terminal, hops, status) of every chain of redirects, by a recursive query.
+def closure(edges: DataFrame, node: str, target: str) -> DataFrame:
+    """(node, terminal, hops, status) of every chain of redirects, of any length.
 
-    A cycle and a chain beyond the depth have no terminal.
+    Pointers are doubled: after k rounds each row has walked 2 ** k steps, so that a chain of n needs
+    log2(n) joins and no row carries a path. What still walks after more steps than there are edges goes
+    round a cycle, and has no terminal.
     """
-    spark = edges.sparkSession
-    edges.select(F.col(node).alias("n"), F.col(target).alias("t")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE walk(n, at, hops, path) MAX RECURSION LEVEL {depth + 5} AS (
-            SELECT n, t, 1, array(n) FROM {view}
-            UNION ALL
-            SELECT w.n, e.t, w.hops + 1, array_append(w.path, w.at)
-            FROM walk w JOIN {view} e ON e.n = w.at
-            WHERE NOT array_contains(w.path, w.at) AND w.hops < {depth}
-        ), last AS (SELECT n, max_by(at, hops) AS at, max(hops) AS hops, max_by(array_contains(path, at), hops) AS cyclic FROM walk GROUP BY n)
-        SELECT n AS {node}, CASE WHEN cyclic OR hops >= {depth} THEN NULL ELSE at END AS terminal, hops,
-               CASE WHEN cyclic THEN 'cycle' WHEN hops >= {depth} THEN 'too-deep' ELSE 'resolved' END AS status
-        FROM last
-    """)
+    step = cut(edges.select(F.col(node).alias("n"), F.col(target).alias("at"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("open")))
+    rounds = step.count().bit_length() + 1
+    for _ in range(rounds):
+        on = step.select(F.col("n").alias("at"), F.col("at").alias("__at"), F.col("hops").alias("__hops"), F.col("open").alias("__open"))
+        walked = step.where("open").join(on, "at", "left").select("n", F.coalesce("__at", "at").alias("at"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.coalesce("__open", F.lit(False)).alias("open"))
+        step = cut(walked.unionAll(step.where("not open")))
+        if step.where("open").isEmpty():
+            break
+    done = ~F.col("open")
+    return step.select(F.col("n").alias(node), F.when(done, F.col("at")).alias("terminal"), F.when(done, F.col("hops")).alias("hops"), F.when(done, "resolved").otherwise("cycle").alias("status"))
 
 
 def chosen_unit(rows: DataFrame, key: str, unit: str, published: DataFrame, reference: Column, order: Column) -> DataFrame:

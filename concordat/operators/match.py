@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def cascade(rows: DataFrame, key: str, tiers: list[tuple[str, DataFrame]]) -> DataFrame:
     """(key, target, basis, candidates): the first tier with a candidate decides; several ⇒ no target.
@@ -25,6 +25,23 @@ def cascade(rows: DataFrame, key: str, tiers: list[tuple[str, DataFrame]]) -> Da
     return out.select(key, F.when(one, F.col("target")).alias("target"), F.coalesce(F.when(one, F.col("basis")), F.when(F.col("candidates") > 1, F.concat("basis", F.lit("-ambiguous"))), F.lit("none")).alias("basis"), F.coalesce("candidates", F.lit(0)).alias("candidates"))
 
 
+def cascade_by_keys(rows: DataFrame, key: str, tiers: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
+    """The result of ``cascade`` for tiers that are equal keys: (basis, (keys, target), key columns).
+
+    Each tier's targets are first reduced to a count and the smallest for each key, so that no tier makes
+    pairs: a key that many rows and many targets share costs their sum, not their product.
+    """
+    out, hits = rows, []
+    for n, (_, targets, on) in enumerate(tiers):
+        each = targets.groupBy(*on).agg(F.count_distinct("target").alias(f"__k{n}"), F.min("target").alias(f"__t{n}"))
+        out = out.join(each, on, "left")
+    for n, (basis, _, _) in enumerate(tiers):
+        hits.append(F.when(F.col(f"__k{n}").isNotNull(), F.struct(F.col(f"__k{n}").alias("k"), F.col(f"__t{n}").alias("t"), F.lit(basis).alias("b"))))
+    out = out.withColumn("__h", F.coalesce(*hits))
+    one, many = F.col("__h.k") == 1, F.col("__h.k") > 1
+    return out.select(key, F.when(one, F.col("__h.t")).alias("target"), F.when(one, F.col("__h.b")).when(many, F.concat("__h.b", F.lit("-ambiguous"))).otherwise("none").alias("basis"), F.coalesce("__h.k", F.lit(0)).alias("candidates"))
+
+
 def quorum(votes: DataFrame, key: str, candidate: str, source: str, least: int = 2) -> DataFrame:
     """(key, winner, votes): the candidate of most distinct sources, at least ``least``, untied."""
     n = votes.groupBy(key, candidate).agg(F.count_distinct(source).alias("n"))
@@ -52,11 +69,15 @@ def overlay(base: DataFrame, override: DataFrame, key: list[str], value: str) ->
     return out.select(*key, F.when(F.col("__has"), F.col("__o")).otherwise(F.col("__b")).alias(value), origin.alias("origin"))
 
 
-def select_scored(candidates: DataFrame, key: str, target: str, score: Column) -> DataFrame:
-    """(key, target, reason, score): the best candidate; a score of 0 or less or a tie is none."""
-    c = candidates.select(key, target, score.alias("score"))
+def select_scored(candidates: DataFrame, key: str, target: str, score: Column, members: str | None = None) -> DataFrame:
+    """(key, target, reason, score): the best candidate; a score of 0 or less or a tie is none.
+
+    Candidates that no term of the score tells apart may come as one row, with their number in ``members``
+    and the smallest of them as target.
+    """
+    c = candidates.select(key, target, score.alias("score"), (F.col(members) if members else F.lit(1)).alias("__m"))
     best = c.groupBy(key).agg(F.max("score").alias("top"))
-    top = c.join(best, key).where("score = top").groupBy(key, "top").agg(F.min(target).alias("t"), F.count(F.lit(1)).alias("n"))
+    top = c.join(best, key).where("score = top").groupBy(key, "top").agg(F.min(target).alias("t"), F.sum("__m").alias("n"))
     reason = F.when(F.col("top") <= 0, "no-signal").when(F.col("n") > 1, "tied").otherwise("best-score")
     return top.select(key, F.when(reason == "best-score", F.col("t")).alias("target"), reason.alias("reason"), F.col("top").alias("score"))
 
@@ -90,13 +111,11 @@ def owners(keys: DataFrame, row: str, key: str) -> DataFrame:
     Keys belong to their first holder. A row points to the smallest owner of its keys, and pointers,
     which always go to smaller rows, are doubled until none moves.
     """
-    sc = keys.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(keys.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordat"))
     own = keys.groupBy(key).agg(F.min(row).alias("o"))
     step = keys.join(own, key).groupBy(row).agg(F.min("o").alias("owner"))
     while True:
-        nxt = step.alias("a").join(step.select(F.col(row).alias("owner"), F.col("owner").alias("further")), "owner").select(row, F.col("further").alias("owner")).checkpoint()
+        nxt = step.alias("a").join(step.select(F.col(row).alias("owner"), F.col("owner").alias("further")), "owner").select(row, F.col("further").alias("owner"))
+        nxt = cut(nxt)
         moved = nxt.join(step.withColumnRenamed("owner", "was"), row).where("owner <> was").limit(1).count()
         step = nxt
         if not moved:

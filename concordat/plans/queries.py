@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import checks, names, numbers, text, units
 from ..operators import changes, factors, groups, match
+from ..session import shared_folder
 from ..sources.tables import table
 from ..streaming import incremental
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import query
 
 BAND = """CASE WHEN lo = hi THEN 'identical' WHEN lo = 0 OR hi = 0 OR (lo > 0) <> (hi > 0) THEN 'incomparable'
     WHEN greatest(abs(lo), abs(hi)) / least(abs(lo), abs(hi)) - 1 <= 0.02 THEN 'within-tolerance'
@@ -179,13 +164,14 @@ def collision_settle(spark, sf):
     return factors.settle(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey"], "l_extendedprice")
 
 
-@query(f"""WITH c AS (SELECT c_nationkey AS n, c_custkey, c_acctbal AS a, s_suppkey, s_acctbal AS b FROM customer JOIN supplier ON c_nationkey = s_nationkey),
-    x AS (SELECT n, least(a, b) AS lo, greatest(a, b) AS hi FROM c) SELECT n AS nation, {BAND} AS band, count(*) AS pairs FROM x GROUP BY 1, 2""")
+@query(f"""WITH s AS (SELECT s_nationkey AS n, unnest([min(s_acctbal), max(s_acctbal)]) AS b FROM supplier GROUP BY 1), x AS (SELECT n, least(c_acctbal, b) AS lo, greatest(c_acctbal, b) AS hi FROM customer JOIN s ON c_nationkey = n)
+    SELECT n AS nation, {BAND} AS band, count(*) AS pairs FROM x GROUP BY 1, 2""")
 def signed_bands(spark, sf):
-    """Bands of customer against supplier balances of a nation, across zero and sign."""
+    """Bands of customer balances against the extremes of their nation's suppliers, across zero and sign."""
     c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
-    j = c.join(s, c.c_nationkey == s.s_nationkey)
-    return j.groupBy(F.col("c_nationkey").alias("nation"), numbers.band(F.least("c_acctbal", "s_acctbal"), F.greatest("c_acctbal", "s_acctbal")).alias("band")).agg(F.count(F.lit(1)).alias("pairs"))
+    ends = s.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.explode(F.array(F.min("s_acctbal"), F.max("s_acctbal"))).alias("b"))
+    j = c.join(ends, "c_nationkey")
+    return j.groupBy(F.col("c_nationkey").alias("nation"), numbers.band(F.least("c_acctbal", "b"), F.greatest("c_acctbal", "b")).alias("band")).agg(F.count(F.lit(1)).alias("pairs"))
 
 
 @query("""WITH s AS (SELECT p_brand, l_orderkey, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / sum(l_quantity::DECIMAL(12,2) * p_retailprice::DECIMAL(12,2))::DOUBLE AS r FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
@@ -224,7 +210,7 @@ def alias_cascade(spark, sf):
     stem = lambda c: F.regexp_replace(c, "^[^0-9]*0*", "")
     c = table(spark, sf, "customer").select("c_custkey", stem("c_name").alias("stem"), F.col("c_nationkey").alias("n"), F.floor(F.col("c_acctbal") / 500).alias("b"))
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("target"), stem("s_name").alias("stem"), F.col("s_nationkey").alias("n"), F.floor(F.col("s_acctbal") / 500).alias("b"))
-    return match.cascade(c, "c_custkey", [("stem", c.join(s, "stem")), ("nation+balance", c.join(s, ["n", "b"])), ("nation", c.join(s, "n"))])
+    return match.cascade_by_keys(c, "c_custkey", [("stem", s, ["stem"]), ("nation+balance", s, ["n", "b"]), ("nation", s, ["n"])])
 
 
 @query("""WITH x AS (SELECT p_partkey, s_suppkey, 2 * (p_size % 5 = s_suppkey % 5)::INT + (p_size % 3 = s_nationkey % 3)::INT - (s_acctbal < 0)::INT + (p_size = s_nationkey)::INT AS score FROM part JOIN supplier ON p_size % 25 = s_nationkey),
@@ -233,10 +219,12 @@ def alias_cascade(spark, sf):
 def scored_select(spark, sf):
     """Suppliers of a part scored by signals and penalties; ties give none."""
     p, s = table(spark, sf, "part"), table(spark, sf, "supplier")
-    j = p.join(s, F.col("p_size") % 25 == F.col("s_nationkey"))
+    # both sides by what the score reads: a size has few groups of suppliers, however many there are
+    own = s.groupBy("s_nationkey", (F.col("s_suppkey") % 5).alias("fifth"), (F.col("s_acctbal") < 0).alias("owes")).agg(F.min("s_suppkey").alias("s_suppkey"), F.count(F.lit(1)).alias("members"))
+    j = p.select("p_size").distinct().join(own, F.col("p_size") % 25 == F.col("s_nationkey"))
     one = lambda c: c.cast("int")
-    score = 2 * one(F.col("p_size") % 5 == F.col("s_suppkey") % 5) + one(F.col("p_size") % 3 == F.col("s_nationkey") % 3) - one(F.col("s_acctbal") < 0) + one(F.col("p_size") == F.col("s_nationkey"))
-    return match.select_scored(j, "p_partkey", "s_suppkey", score)
+    score = 2 * one(F.col("p_size") % 5 == F.col("fifth")) + one(F.col("p_size") % 3 == F.col("s_nationkey") % 3) - one(F.col("owes")) + one(F.col("p_size") == F.col("s_nationkey"))
+    return p.select("p_partkey", "p_size").join(match.select_scored(j, "p_size", "s_suppkey", score, "members").withColumnRenamed("s_suppkey", "target"), "p_size").drop("p_size")
 
 
 PREFIXES = [("Brand#", "any"), ("Brand#1", "ones"), ("Brand#13", "thirteen"), ("Brand#2", "twos"), ("Brand#25", "twenty-five")]
@@ -312,10 +300,10 @@ def collisions(spark, sf):
     return groups.collisions(d, ["k"], ["lang", "source"])
 
 
-@query("SELECT c_nationkey AS nation, count(DISTINCT c_mktsegment) AS names, min(c_mktsegment) AS first_name, max(c_mktsegment) AS last_name FROM customer WHERE c_acctbal > 9000 GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1")
+@query("SELECT c_nationkey AS nation, count(DISTINCT c_mktsegment) AS names, min(c_mktsegment) AS first_name, max(c_mktsegment) AS last_name FROM customer GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1")
 def contested_keys(spark, sf):
     """Nations that more than one segment claims."""
-    return groups.contested(table(spark, sf, "customer").where("c_acctbal > 9000"), "c_nationkey", "c_mktsegment").withColumnRenamed("c_nationkey", "nation")
+    return groups.contested(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment").withColumnRenamed("c_nationkey", "nation")
 
 
 @query("SELECT l_partkey, count(DISTINCT l_suppkey) AS sides, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, round(max(l_extendedprice) / min(l_extendedprice) - 1, 6) AS spread FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
@@ -565,7 +553,7 @@ def minted_ids(spark, sf):
 @query("""SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_windows(spark, sf):
     """Daily counts by a stream with a watermark, complete once the source has ended."""
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='concordat')}/stream-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/out")

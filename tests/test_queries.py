@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from concordat.plans.queries import QUERIES, SQL
+from concordat.plans.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.01"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
