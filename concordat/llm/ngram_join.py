@@ -270,10 +270,11 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     release(spark)
     near = _row_groups(edges, 2 * block_rows)
     some, empty = table.where("n_shingles > 0"), table.where("n_shingles = 0")
-    linked = _verified(spark, src, near, _speakers(some, near), n, num, den, block_rows, clashes)
     # the smallest id of each set, then of each component, found over sets and not over documents
-    least = cut(some.groupBy("node").agg(F.min("doc_id").alias("least")))
-    joined = cut(linked.join(least, "node"))
+    least = cut(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(0))).alias("speaker")))
+    linked = _verified(spark, src, near, _speakers(least, near), n, num, den, block_rows, clashes)
+    joined = cut(linked.join(least.select("node", "least"), "node"))
+    release(spark)
     roots = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
     roots = cut(joined.join(roots, "root").select("node", "component_id"))
     owner = cut(least.join(roots, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
@@ -298,11 +299,9 @@ def _row_groups(edges: DataFrame, most: int) -> DataFrame:
     return cut(whole.where(F.col("members") <= most).select("node", "root").unionAll(star).unionAll(heads))
 
 
-def _speakers(table: DataFrame, near: DataFrame) -> DataFrame:
+def _speakers(least: DataFrame, near: DataFrame) -> DataFrame:
     """(h): for each node of the row groups, its hash with the smallest id of its copies mixed in."""
-    own = F.coalesce("doc_id", F.lit(0))
-    least = table.join(near.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(own).alias("least"))
-    return least.select(F.col("node").bitwiseXOR(F.col("least")).alias("h"))
+    return least.join(near.select("node").distinct(), "node", "left_semi").select(F.col("node").bitwiseXOR(F.col("speaker")).alias("h"))
 
 
 def _verified(spark, src: DataFrame, near: DataFrame, speakers: DataFrame, n: int, num: int, den: int, block_rows: int, clashes: np.ndarray) -> DataFrame:
