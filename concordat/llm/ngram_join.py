@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, edges_batch, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
+from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
 from .tiles import each_tile, tile_rows
 
 SLOTS = 1 << 24  # counters of the order: 16 MB on the driver and in each worker, whatever the data
@@ -200,7 +200,7 @@ def wide(blob: bytes) -> np.ndarray:
     return out.view(U64)[:, 0]
 
 
-def tile_links(left: list, right: list, same: bool, num: int, den: int) -> pa.RecordBatch | None:
+def tile_links(left: list, right: list, same: bool, num: int, den: int) -> tuple[list[int], list[int]]:
     """Spanning links of one tile of rows (node, n-gram hashes)."""
     part = []
     for rows in (left, right):
@@ -210,7 +210,7 @@ def tile_links(left: list, right: list, same: bool, num: int, den: int) -> pa.Re
     x, y = product_links(ga, sa, gb, sb, num, den, same)
     x, y = na[x], nb[y]
     k = forest(x, y)
-    return edges_batch(x[k], y[k]) if len(k) else None
+    return x[k].tolist(), y[k].tolist()
 
 
 def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, num: int = 85, den: int = 100, block_rows: int = TILE_ROWS) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts
+from .common import edges_batch, shuffle_parts
 
 
 def tile_rows(near: DataFrame, payload: DataFrame, columns: list[str], block_rows: int) -> DataFrame:
@@ -26,8 +27,14 @@ def tile_rows(near: DataFrame, payload: DataFrame, columns: list[str], block_row
     return rows.repartition(shuffle_parts(near.sparkSession), "grp", "i", "j").sortWithinPartitions("grp", "i", "j")
 
 
+EDGES = 16_384  # of many small tiles that go out together
+
+
 def each_tile(batches, columns: list[str], solve: Callable) -> Iterator:
-    """Calls ``solve(left, right, same)`` for each tile, rows being (node, *columns), each node once."""
+    """Calls ``solve(left, right, same)`` for each tile, rows being (node, *columns), each node once; the
+    edges (a, b) that it returns go out together with those of other tiles."""
+    a: list[int] = []
+    b: list[int] = []
 
     def side(rows, block):
         return list({r[1]: r[1:] for r in rows if r[0] == block}.values())
@@ -36,16 +43,23 @@ def each_tile(batches, columns: list[str], solve: Callable) -> Iterator:
         _, i, j = key
         left = side(rows, i)
         right = left if i == j else side(rows, j)
-        return solve(left, right, i == j) if left and right else None
+        if left and right:
+            x, y = solve(left, right, i == j)
+            a.extend(x)
+            b.extend(y)
 
     was, rows = None, []
-    for b in batches:
-        for grp, i, j, *row in zip(*(b.column(c).to_pylist() for c in ("grp", "i", "j", "block", "node", *columns)), strict=True):
+    for batch in batches:
+        for grp, i, j, *row in zip(*(batch.column(c).to_pylist() for c in ("grp", "i", "j", "block", "node", *columns)), strict=True):
             if was is not None and (grp, i, j) != was:
-                if (out := one(was, rows)) is not None:
-                    yield out
+                one(was, rows)
                 rows = []
+                if len(a) >= EDGES:
+                    yield edges_batch(np.array(a, np.int64), np.array(b, np.int64))
+                    a.clear()
+                    b.clear()
             was = (grp, i, j)
             rows.append(row)
-    if was is not None and (out := one(was, rows)) is not None:
-        yield out
+    if was is not None:
+        one(was, rows)
+    yield edges_batch(np.array(a, np.int64), np.array(b, np.int64))
