@@ -50,7 +50,7 @@ def formula_similarity(a: Column, b: Column) -> Column:
 
 
 def nuclide(c: Column) -> Column:
-    """Element, mass and state of a label such as Uranium-238m; null for others."""
+    """Element, mass and state of a label such as Cobalt-60m; null for others."""
     p = r"^([A-Za-z]+)-([0-9]{1,3})(m[0-9]?)?$"
     return F.when(c.rlike(p), F.struct(F.lower(F.regexp_extract(c, p, 1)).alias("element"), F.regexp_extract(c, p, 2).cast("int").alias("mass"), F.regexp_extract(c, p, 3).alias("state")))
 
@@ -73,45 +73,45 @@ def ion_label(base: Column, charge: Column) -> Column:
 
 
 def ion_parts(c: Column) -> Column:
-    """Base and charge of names such as ``Iron(III)``, ``Iron, ion`` and ``Fe 3+``."""
+    """Base and charge of names such as ``Cobalt(II)``, ``Cobalt, ion`` and ``Co 2+``."""
     upper = F.array(*(F.lit(r.upper()) for r in ROMAN))
     p, q = r"^(.+?) ?\(([IVX]+)\)$", r"^(.+?),? (?:ion )?([0-9])\+$"
     return F.when(c.rlike(p), F.struct(F.regexp_extract(c, p, 1).alias("base"), (F.array_position(upper, F.regexp_extract(c, p, 2)) - 1).cast("int").alias("charge"))).when(c.rlike(q), F.struct(F.regexp_extract(c, q, 1).alias("base"), F.regexp_extract(c, q, 2).cast("int").alias("charge"))).when(c.rlike(r", ion$"), F.struct(F.regexp_replace(c, ", ion$", "").alias("base"), F.lit(None).cast("int").alias("charge")))
 
 
 def deinvert_index_name(c: Column) -> Column:
-    """``Benzene, chloro-`` to ``chlorobenzene``; null for names of another shape."""
+    """``Toluene, bromo-`` to ``bromotoluene``; null for names of another shape."""
     p = r"^([A-Za-z]+), ([A-Za-z0-9,()-]+)-$"
     return F.when(c.rlike(p), F.concat(F.regexp_extract(c, p, 2), F.lower(F.regexp_extract(c, p, 1))))
 
 
 def deinvert_phrase(c: Column) -> Column:
-    """``Heat, waste`` to ``waste heat``; null where the tail isn't a plain qualifier."""
+    """``Timber, sawn`` to ``sawn timber``; null where the tail isn't a plain qualifier."""
     p = r"^([A-Za-z][a-z ]+), ([a-z][a-z -]*[a-z])$"
     plain = c.rlike(p) & ~c.rlike(r"/|, ions?$|, (in|from|to|of|as|for|with) ")
     return F.when(plain, F.concat(F.regexp_extract(c, p, 2), F.lit(" "), F.lower(F.regexp_extract(c, p, 1))))
 
 
 def valence_in_parentheses(c: Column) -> Column:
-    """``Arsenic V`` to ``arsenic (v)``."""
+    """``Cobalt II`` to ``cobalt (ii)``."""
     p = r"^([A-Za-z]+) (II|III|IV|V|VI|VII|VIII)$"
     return F.when(c.rlike(p), F.concat(F.lower(F.regexp_extract(c, p, 1)), F.lit(" ("), F.lower(F.regexp_extract(c, p, 2)), F.lit(")")))
 
 
 def fused_locants(c: Column) -> Column:
-    """``Benzo(a)anthracene`` to ``benzo[a]anthracene``."""
+    """``Dibenzo(a,h)pyrene`` to ``dibenzo[a,h]pyrene``."""
     p = r"([a-z])\(([a-z](?:,[a-z])*|[0-9](?:,[0-9])*(?:-[a-z]+)?)\)([a-z])"
     return F.when(c.rlike(p), F.lower(F.regexp_replace(c, p, "$1[$2]$3")))
 
 
 def without_unit_suffix(c: Column, unit: Column) -> Column:
-    """``Water/m3`` with unit m3 to ``Water``."""
+    """``Steam/kg`` with unit kg to ``Steam``."""
     tail = F.concat(F.lit("/"), unit)
     return F.when(F.lower(c).endswith(F.lower(tail)), F.substring(c, F.lit(1), F.length(c) - F.length(tail)))
 
 
 def geography_suffix(c: Column) -> Column:
-    """Base label and code of ``Water, AE``; whether both are known is for a join to say."""
+    """Base label and code of ``Steam, PT``; whether both are known is for a join to say."""
     p = r"^(.+), ([A-Z]{2}(?:-[A-Z]{2,3})?|GLO|RoW|RER)$"
     return F.when(c.rlike(p), F.struct(F.regexp_extract(c, p, 1).alias("base"), F.regexp_extract(c, p, 2).alias("code")))
 

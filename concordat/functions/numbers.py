@@ -31,7 +31,7 @@ def band(lo: Column, hi: Column) -> Column:
 
 
 def to_significant(c: Column, digits: int) -> Column:
-    """A decimal rounded half away from zero to some figures, through 38-digit decimals."""
+    """A number rounded half away from zero to some figures, in floating point."""
     places = digits - 1 - F.floor(F.log10(F.abs(c).cast("double")))
     scale = F.pow(F.lit(10.0), places.cast("double"))
     return F.when(c == 0, 0.0).otherwise(F.signum(c.cast("double")) * F.floor(F.abs(c).cast("double") * scale + 0.5) / scale)

@@ -39,7 +39,13 @@ def first_rule(rules: list[tuple[Column, str]]) -> Column:
 
 
 def catalogue_kind(c: Column) -> Column:
-    """Shape of a label: registry number, grade code, trade name; null for ordinary names."""
+    """Shape of a label, else of what stands before its last bracket: registry number, grade code, trade
+    name; null for ordinary names."""
+    stem = F.regexp_replace(c, r"\s*\([^()]*\)$", "")
+    return F.coalesce(_catalogue_kind(c), F.when(stem != c, _catalogue_kind(stem)))
+
+
+def _catalogue_kind(c: Column) -> Column:
     return first_rule([(c.rlike(r"^[0-9]{2,7}-[0-9]{2}-[0-9]$"), "registry-code"), (c.rlike(r"^[A-Z]{1,5}[ -]?[0-9]{2,6}[A-Z]?$"), "grade-code"), (c.rlike(r"^[A-Z][a-z]+ (\(R\)|\(TM\)|[A-Z]?[0-9]+)$"), "trade-name")])
 
 
@@ -54,16 +60,35 @@ def has_stereo(c: Column) -> Column:
     return c.rlike(r"(^|[^A-Za-z])(\([RSEZ+-]\)|cis|trans|[RSEZ]-)")
 
 
+#: What binds digits into a chemical name, and the shape of a grade at the end of a trade name.
+LOCANT = r"[0-9],[0-9]|[0-9]-[a-z]|[a-z]-[0-9]|[0-9]['\u2019]|[\u03b1\u03b2\u03b3\u03b4]"
+GRADE = r"^[A-Za-z]{0,4}-?[0-9][0-9A-Za-z]*([.:/-][0-9A-Za-z]+)*$"
+
+
 def family_token(c: Column) -> Column:
-    """Folded leading word."""
-    return F.lower(F.regexp_replace(F.element_at(F.split(F.trim(c), r"\s+"), 1), r"[^A-Za-z0-9]", ""))
+    """Leading word in lower case, without marks at its ends."""
+    return F.lower(F.regexp_replace(F.element_at(F.split(F.trim(c), r"\s+"), 1), r"^[,;:.()\[\]]+|[,;:.()\[\]]+$", ""))
 
 
 def is_product_designation(c: Column) -> Column:
-    """Two words or more, the last one short and with a digit, no locant before it."""
+    """Two words or more of which the last is a short grade with a digit, and no locant anywhere."""
     words = F.split(F.trim(c), r"\s+")
-    last = F.element_at(words, -1)
-    return (F.size(words) >= 2) & (F.length(last) <= 14) & last.rlike("[0-9]") & ~c.rlike(r"[0-9],[0-9]")
+    last = F.regexp_replace(F.element_at(words, -1), r"^[,;.]+|[,;.]+$", "")
+    return (F.size(words) >= 2) & (F.length(last) <= 14) & last.rlike(GRADE) & ~c.rlike(LOCANT)
+
+
+def is_becquerel(c: Column) -> Column:
+    """Whether a unit counts decays, whatever its spelling."""
+    return F.coalesce(F.lower(F.trim(c)).rlike(r"^(k|m|g|t|kilo|mega|giga)?[ -]?(bq|becquerels?)$"), F.lit(False))
+
+
+def qualifier_losses(current: Column, replacement: Column) -> Column:
+    """Words that a rename loses: an origin, a state of charge, brackets' contents, in this order."""
+    charge = lambda c: F.regexp_extract(c, r"\(([IVX]+)\)", 1)
+    inner = lambda c: F.regexp_extract(F.regexp_replace(c, r"\([IVX]+\)", ""), r"\(([A-Za-z][^)]*)\)", 1)
+    lost = [F.when(qualifier(current).isNotNull() & ~qualifier(current).eqNullSafe(qualifier(replacement)), F.concat(F.lit("origin:"), qualifier(current)))]
+    lost += [F.when((f(current) != "") & (f(current) != f(replacement)), F.concat(F.lit(n), f(current))) for n, f in (("charge:", charge), ("bracket:", inner))]
+    return F.array_compact(F.array(*lost))
 
 
 def tokens(c: Column) -> Column:

@@ -22,7 +22,7 @@ def _none() -> Column:
 def bootstrap(flows: DataFrame) -> DataFrame:
     """Name and synonyms become a preferred label and other labels, trimmed, without the preferred one."""
     pref = F.trim("name")
-    alts = F.filter(F.transform(F.coalesce("synonyms", _none()), F.trim), lambda x: (F.length(x) > 0) & (canonical_label(x) != canonical_label(pref)))
+    alts = F.filter(F.transform(F.coalesce("synonyms", _none()), lambda x: F.trim(x)), lambda x: (F.length(x) > 0) & (canonical_label(x) != canonical_label(pref)))
     return flows.select("uuid", pref.alias("pref"), text.dedupe_labels(alts).alias("alts"))
 
 
