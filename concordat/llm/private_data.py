@@ -24,10 +24,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_types, mix, ship, strings, text_chunks
+from .common import column_types, cut, mix, ship, strings, text_chunks
 from .spans import digest, joined
 
 BASE = ("email", "ip", "card", "phone")
@@ -356,9 +356,9 @@ def fit(texts: DataFrame, sample: int = SAMPLE, windows: int = WINDOWS) -> dict
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["held", "k", "x", "y"])
 
-    drawn = rows.mapInArrow(draw, "held boolean, k long, x binary, y binary")
-    rank = F.row_number().over(Window.partitionBy("held").orderBy("k", "x", "y"))
-    got = sorted((r["k"], bytes(r["x"]), bytes(r["y"])) for r in drawn.withColumn("n", rank).where(F.col("n") <= windows).collect())
+    drawn = cut(rows.mapInArrow(draw, "held boolean, k long, x binary, y binary"))
+    few = [r for held in ("held", "not held") for r in drawn.where(held).orderBy("k", "x", "y").limit(windows).collect()]
+    got = sorted((r["k"], bytes(r["x"]), bytes(r["y"])) for r in few)
     if not any(y.strip(b"\0") for _, _, y in got):
         return None
     x, y = (np.frombuffer(b"".join(r[k] for r in got), np.int8).reshape(-1, WINDOW).astype(np.int64) for k in (1, 2))
