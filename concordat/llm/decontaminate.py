@@ -305,7 +305,7 @@ def _search(docs: DataFrame, items: Items, cosine: float, strict: float, loose:
     plain = np.array([(idf[w - 1] == 0).mean() for w in items.words]) >= PLAIN
     # windows of 4 blocks of STEP * 2 ** c words suit items of up to about as many words
     level = np.ceil(np.log2(np.maximum(1, lengths / (4 * STEP)))).astype(int)
-    held = docs.sparkSession.sparkContext.broadcast((project.astype(np.float32), asked, items))
+    held = docs.sparkSession.sparkContext.broadcast((np.clip(project, -1e30, 1e30).astype(np.float32), asked, items))
 
     def run(batches):
         weight, queries, own = held.value
