@@ -53,6 +53,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder.get()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of our own in whatever store it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors."""
     checkpoint_folder(df.sparkSession)

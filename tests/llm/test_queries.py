@@ -222,3 +222,9 @@ def test_ties_and_repeats(spark):
     assert {tuple(r) for r in decontaminate.leaks(twice, items).collect()} == {tuple(r) for r in decontaminate.leaks(docs, items).collect()}
     a, b = (collections.Counter(r.labels for r in licences.scan_licences(d).collect()) for d in (docs, twice))
     assert b == collections.Counter({k: 2 * v for k, v in a.items()})
+
+
+def test_pipeline_runs_whole(spark, texts):
+    out = corpus_pipeline.run(spark, SF)
+    rows = out.collect()
+    assert {r.doc_id for r in rows} <= texts.keys() and len(rows) > 0.7 * len(texts) and all(len(r.token_ids) == r.n_tokens for r in rows)
