@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm.common import checkpoint_folder, cut, free_name
+from concordat.llm.common import checkpoint_folder, cut, free_name, remove_folder
 from concordat.llm.decontaminate import decontaminated
 from concordat.llm.fuzzy_lines import dedup_lines
 from concordat.llm.ngram_join import ngram_components
@@ -74,10 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again."""
-    folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    """All stages over documents, each written as Parquet and read again. What a stage has read goes when
+    its own rows are written; the last ones stay, for the result is read from them."""
+    folder, was = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}", None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for n, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}-{name}")
-        docs = spark.read.parquet(f"{folder}/{n}-{name}")
+        here = f"{folder}/{n}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(here)
+        docs = spark.read.parquet(here)
+        if was:
+            remove_folder(spark, was)
+        was = here
     return docs
