@@ -185,8 +185,9 @@ def retired_flows(spark, sf):
 def chained_targets(spark, sf):
     """The first list of a chain that knows a part, and its answer."""
     l = table(spark, sf, "lineitem")
-    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
-    links = l.select(F.col("l_partkey").alias("uuid"), F.col("l_suppkey").alias("target"), F.col("l_returnflag").alias("list"), (rank.cast("long") * 10_000_000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"))
+    place = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    ordinal = place.cast("long") * 10_000_000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")  # of order keys from a million on, lists overlap in it
+    links = l.select(F.col("l_partkey").alias("uuid"), F.col("l_suppkey").alias("target"), F.get(F.array(*map(F.lit, "RAN")), place).alias("list"), place.alias("place"), ordinal.alias("ordinal"))
     return characterise.chained_targets(table(spark, sf, "part").select(F.col("p_partkey").alias("uuid")), links)
 
 
