@@ -3,7 +3,9 @@
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
 
+from concordat.operators import contexts
 from concordat.plans.catalog import QUERIES, SQL
 
 
@@ -24,3 +26,26 @@ def test_chains_of_large_order_keys(spark, tmp_path):
     got, want = both(spark, tmp_path, "chained_targets", lineitem=lines, part="SELECT range AS p_partkey FROM range(8)")
     assert got == want
     assert got[(1, 12, "R")] == got[(2, 22, "R")] == 1
+
+
+def test_nearest_compares_paths_not_rows(spark, monkeypatch):
+    """40 questions of 4 paths over 2,000 rows of 8 paths: 80,000 pairs of rows, of paths 32 with 8 targets each at most."""
+    compared = spark.sparkContext.accumulator(0)
+
+    def distance(a, b):
+        compared.add(1)
+        return 2 * (a[2] != b[2])
+
+    monkeypatch.setattr(contexts, "word_distance", F.udf(distance, "int"))
+    rows = [(k, "s", ["en", "s", str(k % 8)]) for k in range(2000)]
+    asked = spark.createDataFrame([(k, s, w) for k, s, w in rows if k % 50 == 0], "id long, source string, words array<string>")
+    got = contexts.nearest(asked, spark.createDataFrame(rows, "target long, source string, words array<string>"), "id", "source").collect()
+    assert Counter(map(tuple, got)) == Counter((k, k % 8 + 8 * n, 0, n + 1) for k, _, _ in rows if k % 50 == 0 for n in range(8))
+    assert compared.value <= 32 * 8
+
+
+def test_nearest_of_few_and_repeated_rows(spark, tmp_path):
+    docs = """SELECT range AS doc_id, 'text' AS text, ['en', 'de'][(range % 3 = 0)::INT + 1] AS lang, 's' || range // 60 AS source, range * range AS n_chars FROM range(200)
+        UNION ALL SELECT 80, 'again', 'en', 's0', 5 UNION ALL SELECT 80, 'again', 'en', 's0', 5 UNION ALL SELECT 81, 'alone', 'fr', 's9', 1 UNION ALL SELECT 120, 'alone', 'fr', 's9', 1"""
+    got, want = both(spark, tmp_path, "context_nearest", documents=docs)
+    assert got == want and got
