@@ -291,8 +291,22 @@ def close(sim: np.ndarray, length: np.ndarray, sim2: np.ndarray, length2: np.nda
     return (np.bitwise_count(sim ^ sim2) <= allowed_bits(low)) & ((den * low >= num * high) | (high == MOST_LENGTH))
 
 
-def close_groups(sim: np.ndarray, length: np.ndarray, num: int, den: int) -> np.ndarray:
-    """A label for each line: the same where a chain of close ones joins two."""
+def lower_bits(lower: np.ndarray) -> np.ndarray:
+    """Rows of bits, of which two have one in common where their lines have a key in common: ``lower`` is a
+    matrix of keys, 0 for none."""
+    keys, at, n = np.unique(lower, return_inverse=True, return_counts=True)
+    held = (n > 1) & (keys != 0)  # a key that one line has is common to none
+    place = np.where(held, np.cumsum(held) - 1, -1)[at.reshape(lower.shape)]
+    bits = np.zeros((len(lower), -(-int(held.sum()) // 64)), U64)
+    for c in range(lower.shape[1]):
+        some = np.flatnonzero(place[:, c] >= 0)
+        bits[some, place[some, c] // 64] |= U64(1) << (place[some, c] % 64).astype(U64)
+    return bits
+
+
+def close_groups(sim: np.ndarray, length: np.ndarray, num: int, den: int, bits: np.ndarray | None = None) -> np.ndarray:
+    """A label for each line: the same where a chain of close ones joins two. Lines with ``bits`` in common
+    meet elsewhere."""
     label, left, group = np.full(len(sim), -1), np.arange(len(sim)), 0
     while len(left):
         edge, left = left[:1], left[1:]
@@ -301,7 +315,10 @@ def close_groups(sim: np.ndarray, length: np.ndarray, num: int, den: int) -> np.
             near = np.zeros(len(left), bool)
             for s in range(0, len(edge), 64):
                 e = edge[s : s + 64, None]
-                near |= close(sim[e], length[e], sim[None, left], length[None, left], num, den).any(0)
+                hit = close(sim[e], length[e], sim[None, left], length[None, left], num, den)
+                for b in () if bits is None else bits.T:
+                    hit &= (b[e] & b[None, left]) == 0
+                near |= hit.any(0)
             edge, left = left[near], left[~near]
             label[edge] = group
         group += 1
@@ -363,23 +380,29 @@ def frequent(keys: np.ndarray, most: int) -> np.ndarray:
 
 
 def tile_links(left: list, right: list, same: bool, num: int, den: int) -> tuple[list[int], list[int]]:
-    """Spanning links of a tile of rows (line, SimHash, length, text); pairs already connected are skipped."""
+    """Spanning links of a tile of rows (line, SimHash, length, lower keys, text); pairs already connected
+    are skipped, and those with a lower key in common, under which they meet."""
     rows = left if same else left + right
     if same and len(rows) <= 8:
         return small_links(rows, num, den)
     sim = np.array([r[1] for r in rows], np.int64).view(U64)
     length = np.array([r[2] for r in rows], np.int64)
+    bits = None
+    if rows[0][3] is not None:
+        bits = lower_bits(np.stack([np.frombuffer(r[3], np.int64) for r in rows]))
     label, words = np.arange(len(rows)), [None] * len(rows)
     a, b = [], []
     for k in range(len(left)):
         start = k + 1 if same else len(left)
         near = close(sim[start:], length[start:], sim[k], length[k], num, den)
+        if bits is not None:
+            near &= ~(bits[start:] & bits[k]).any(1)
         for m in (np.flatnonzero(near & (label[start:] != label[k])) + start).tolist():
             if label[m] == label[k]:
                 continue
             for x in (k, m):
-                words[x] = words[x] or set(rows[x][3].split(" "))
-            if shares(words[k], words[m]) and similar(rows[k][3], rows[m][3], num, den):
+                words[x] = words[x] or set(rows[x][4].split(" "))
+            if shares(words[k], words[m]) and similar(rows[k][4], rows[m][4], num, den):
                 label[label == label[m]] = label[k]
                 a.append(rows[k][0])
                 b.append(rows[m][0])
@@ -388,15 +411,15 @@ def tile_links(left: list, right: list, same: bool, num: int, den: int) -> tuple
 
 def small_links(rows: list, num: int, den: int) -> tuple[list[int], list[int]]:
     """The links of a few lines, which numbers of Python compare sooner than arrays."""
-    label, words = list(range(len(rows))), [set(r[3].split(" ")) for r in rows]
+    label, words = list(range(len(rows))), [set(r[4].split(" ")) for r in rows]
     a, b = [], []
-    for k, (node, sim, length, line) in enumerate(rows):
+    for k, (node, sim, length, _, line) in enumerate(rows):
         for m in range(k + 1, len(rows)):
             low, high = sorted((length, rows[m][2]))
             bits = next(x for n, x in reversed(BITS) if n <= low)
             if label[m] == label[k] or ((sim ^ rows[m][1]) & 0xFFFFFFFFFFFFFFFF).bit_count() > bits or (den * low < num * high and high != MOST_LENGTH):
                 continue
-            if shares(words[k], words[m]) and similar(line, rows[m][3], num, den):
+            if shares(words[k], words[m]) and similar(line, rows[m][4], num, den):
                 label = [label[k] if x == label[m] else x for x in label]
                 a.append(node)
                 b.append(rows[m][0])
@@ -411,17 +434,22 @@ def shares(a: set[str], b: set[str]) -> bool:
     return 5 * sum(map(len, a & b)) >= 3 * max(sum(map(len, a)), sum(map(len, b)))
 
 
-NEAR = "node long, root long, sim long, length int, bucket int, often binary"
+NEAR = "node long, root long, sim long, length int, lower binary, bucket int, often binary"
+NAMES = ["node", "root", "sim", "length", "lower", "bucket", "often"]
+GROUP = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 OFTEN = np.dtype([("key", "<i8"), *ENTRY.descr])
+#: An entry of a frequent key, with the line's frequent keys that are lower.
+HELD = np.dtype([*OFTEN.descr, ("lower", "<i8", (RUNS + EDGE_RUNS - 1,))])
 
 
-def near_batch(node: np.ndarray, root: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """Rows of groups; ``rows`` holds each line's entry at least once."""
+def near_batch(node: np.ndarray, root: np.ndarray, rows: np.ndarray, lower: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of groups; ``rows`` holds each line's entry at least once, ``lower`` the lower keys of each row."""
     by = np.argsort(rows["node"], kind="stable")
     own = rows[by[np.searchsorted(rows["node"][by], node)]] if len(node) else rows[:0]
     n = len(node)
-    cols = [pa.array(node), pa.array(root), pa.array(own["sim"].copy().view(np.int64)), pa.array(own["length"].astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=["node", "root", "sim", "length", "bucket", "often"])
+    cols = [pa.array(node), pa.array(root), pa.array(own["sim"].copy().view(np.int64)), pa.array(own["length"].astype(np.int32))]
+    cols += [pa.nulls(n, pa.binary()) if lower is None else pa.array([x.tobytes() for x in lower], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=NAMES)
 
 
 def often_batch(rows: np.ndarray, by: str, buckets: int) -> pa.RecordBatch:
@@ -431,13 +459,40 @@ def often_batch(rows: np.ndarray, by: str, buckets: int) -> pa.RecordBatch:
     rows, bucket = rows[order], bucket[order]
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
     ends = [*first[1:].tolist(), len(rows)] if len(first) else []
-    cols = [*[pa.nulls(len(first), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())], pa.array(bucket[first]), pa.array([rows[a:z].tobytes() for a, z in zip(first.tolist(), ends, strict=True)], pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=["node", "root", "sim", "length", "bucket", "often"])
+    cols = [*[pa.nulls(len(first), t) for t in GROUP], pa.array(bucket[first]), pa.array([rows[a:z].tobytes() for a, z in zip(first.tolist(), ends, strict=True)], pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=NAMES)
 
 
-def read_often(batches) -> np.ndarray:
-    got = [np.frombuffer(x, OFTEN) for b in batches for x in b.column("often").to_pylist()]
-    return np.concatenate([np.zeros(0, OFTEN), *got])
+def read_often(batches, kind: np.dtype = OFTEN) -> np.ndarray:
+    got = [np.frombuffer(x, kind) for b in batches for x in b.column("often").to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *got])
+
+
+def with_lower(rows: np.ndarray) -> np.ndarray:
+    """Entries, sorted by line and key, with the lower keys of their line."""
+    out = np.zeros(len(rows), HELD)
+    for c in OFTEN.names:
+        out[c] = rows[c]
+    first = np.flatnonzero(np.r_[True, rows["node"][1:] != rows["node"][:-1]][: len(rows)])
+    start = np.repeat(first, np.diff(np.r_[first, len(rows)]))
+    place = np.arange(len(rows)) - start
+    for c in range(out["lower"].shape[1]):
+        some = np.flatnonzero(place > c)
+        out["lower"][some, c] = rows["key"][start[some] + c]
+    return out
+
+
+def frequent_groups(rows: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries, sorted by key, of lines that are close to another under a key and under no lower one, and their groups."""
+    first = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]][: len(rows)])
+    at, root = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for s, n in zip(first.tolist(), np.diff(np.r_[first, len(rows)]).tolist(), strict=True):
+        here = rows[s : s + n]
+        label = close_groups(here["sim"], here["length"].astype(np.int64), num, den, lower_bits(here["lower"]))
+        some = np.flatnonzero(np.bincount(label)[label] > 1)
+        at.append(s + some)
+        root.append(mix(here["key"][some].view(U64) + mix(label[some].astype(U64))).view(np.int64))
+    return rows[np.concatenate(at)], np.concatenate(root)
 
 
 def with_keys(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -449,11 +504,12 @@ def with_keys(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def row_groups(lines: DataFrame, num: int, den: int, most: int = MOST, wide: int = WIDE) -> DataFrame:
-    """(node, root, sim, length): groups such that lines which are close under a key share a group.
+    """(node, root, sim, length, lower): groups such that lines which are close under a key share a group.
 
     ``lines`` has key, sim, length and the runs of lines, of which each batch sends one of every key. A run that more than ``most`` lines
-    have, as of a passage that many texts share, says little: it is a key only of lines of whose runs
-    two thirds are that frequent, for a line with much else shares some of that with a similar line.
+    have, as of a passage that many texts share, is frequent: such lines often have several of these in
+    common, so that they meet under the lowest one alone. For this, each line's frequent runs are brought
+    together first; ``lower`` holds those below the one of a group, and is null in the other groups.
     """
     spark, runs = lines.sparkSession, [c for c in lines.columns if re.fullmatch("r[0-9]+", c)]
     buckets, parts = 2 * shuffle_parts(spark), shuffle_parts(spark)
@@ -494,7 +550,7 @@ def row_groups(lines: DataFrame, num: int, den: int, most: int = MOST, wide: int
             known = b.filter(b.column("keys").is_null())
             if known.num_rows:
                 n = known.num_rows
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())], known.column("bucket"), known.column("often")], names=["node", "root", "sim", "length", "bucket", "often"])
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(n, t) for t in GROUP], known.column("bucket"), known.column("often")], names=NAMES)
             held.append(b.filter(b.column("keys").is_valid()).select(["bucket", "keys", "ids"]))
         keys, rows = read_blobs(held, kind=ENTRY)
         order = np.lexsort((rows["node"], keys))  # a line that several batches sent counts once
@@ -508,35 +564,36 @@ def row_groups(lines: DataFrame, num: int, den: int, most: int = MOST, wide: int
 
     met = cut(lines.mapInArrow(blobs, "bucket int, keys binary, ids binary, often binary").repartition(parts, "bucket").mapInArrow(meet, NEAR))
 
+    def whole(rows):
+        return near_batch(rows["node"].copy(), rows["key"].copy(), rows, rows["lower"])
+
     def plain(batches):
-        """Of each line all frequent keys: they go on where they are two thirds of its runs. Keys that
-        are wide even among the lines of one task name a group as they are."""
+        """Of each line all frequent keys. Keys that are wide even among the lines of one task name a group
+        as they are, and go on just often enough to be wide there too."""
         rows = read_often(batches)
         order = np.lexsort((rows["key"], rows["node"]))
         rows = rows[order]
         new = np.r_[True, (rows["node"][1:] != rows["node"][:-1]) | (rows["key"][1:] != rows["key"][:-1])][: len(rows)]
-        rows = rows[new]
-        first = np.flatnonzero(np.r_[True, rows["node"][1:] != rows["node"][:-1]][: len(rows)])
-        count = np.diff(np.r_[first, len(rows)])
-        rows = rows[np.repeat(3 * count >= 2 * rows["runs"][first].astype(np.int64), count)]
+        rows = with_lower(rows[new])
         rows = rows[np.argsort(rows["key"], kind="stable")]
         large = frequent(rows["key"], wide)
-        yield near_batch(rows["node"][large].copy(), rows["key"][large].copy(), rows[large])
-        yield often_batch(rows[~large], "key", buckets)
+        yield whole(rows[large])
+        first = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]][: len(rows)])
+        place = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+        yield often_batch(rows[place <= wide], "key", buckets)
 
     def again(batches):
-        got = list(batches)
-        rows = read_often([b.filter(b.column("often").is_valid()) for b in got])
+        rows = read_often(batches, HELD)
         rows = rows[np.argsort(rows["key"], kind="stable")]
         large = frequent(rows["key"], wide)
-        yield near_batch(rows["node"][large].copy(), rows["key"][large].copy(), rows[large])
-        node, root = bucket_groups(rows["key"][~large].copy().view(U64), rows[~large], num, den, wide)
-        yield near_batch(node, root, rows)
+        yield whole(rows[large])
+        rows, root = frequent_groups(rows[~large], num, den)
+        yield near_batch(rows["node"].copy(), root, rows, rows["lower"])
 
     second = cut(met.where("often is not null").repartition(parts, "bucket").mapInArrow(plain, NEAR))
     third = second.where("often is not null").repartition(parts, "bucket").mapInArrow(again, NEAR)
     groups = met.where("often is null").unionAll(second.where("often is null")).unionAll(third)
-    return cut(groups.select("node", "root", "sim", "length").distinct())
+    return cut(groups.select("node", "root", "sim", "length", "lower").distinct())
 
 
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 80, den: int = 100, block_rows: int = BLOCK_ROWS, most: int = MOST, wide: int = WIDE) -> DataFrame:
@@ -582,8 +639,8 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
 
     payload = src.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("d")).mapInArrow(texts, "node long, text string")
     solve = lambda left, right, same: tile_links(left, right, same, num, den)
-    tiles = tile_rows(near, payload, ["sim", "length", "text"], block_rows)
-    linked = components(tiles.mapInArrow(lambda it: each_tile(it, ["sim", "length", "text"], solve), "a long, b long"))
+    tiles = tile_rows(near, payload, ["sim", "length", "lower", "text"], block_rows)
+    linked = components(tiles.mapInArrow(lambda it: each_tile(it, ["sim", "length", "lower", "text"], solve), "a long, b long"))
 
     def filtered(rows: DataFrame, mask: np.ndarray) -> DataFrame:
         held = spark.sparkContext.broadcast(mask)

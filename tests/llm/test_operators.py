@@ -563,3 +563,23 @@ def test_pipeline_contract():
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "benchmark_decontamination", "pieces"]
+
+
+def test_frequent_runs_meet_under_the_lowest(spark):
+    """All pairs of close lines that share a run are in a group that compares them, however frequent the run."""
+    rng = np.random.default_rng(5)
+    n, runs = 240, fuzzy_lines.RUNS + fuzzy_lines.EDGE_RUNS
+    sim = rng.integers(-(2**63), 2**63, n)
+    sim[1::2] = sim[::2] ^ (1 << 3 | 1 << 20 | 1 << 37 | 1 << 54)  # a bit of each block, so that no two blocks are equal
+    own = rng.integers(1, 2**62, (n, runs))  # runs of one line each
+    own[:, 0] = 7  # one that all have
+    own[rng.random(n) < 0.4, 1] = 5  # others that some have, below and above
+    own[rng.random(n) < 0.3, 2] = 9
+    lines = spark.createDataFrame([(k, int(sim[k]), 120, *map(int, own[k])) for k in range(n)], "key long, sim long, length int, " + ", ".join(f"r{k} long" for k in range(runs)))
+    for wide in (4096, 100, 20):
+        groups, compared = collections.defaultdict(dict), collections.Counter()
+        for r in fuzzy_lines.row_groups(lines.repartition(5), 80, 100, most=16, wide=wide).collect():
+            groups[r.root][r.node] = set(np.frombuffer(r.lower, np.int64).tolist()) - {0} if r.lower else set()
+        for g in groups.values():
+            compared.update((k, k + 1) for k in g if k % 2 == 0 and k + 1 in g and not g[k] & g[k + 1])
+        assert all(compared[k, k + 1] == 1 for k in range(0, n, 2)), (wide, len(compared))
