@@ -583,3 +583,18 @@ def test_frequent_runs_meet_under_the_lowest(spark):
         for g in groups.values():
             compared.update((k, k + 1) for k in g if k % 2 == 0 and k + 1 in g and not g[k] & g[k + 1])
         assert all(compared[k, k + 1] == 1 for k in range(0, n, 2)), (wide, len(compared))
+
+
+def test_pipeline_lines_of_a_shared_passage(spark):
+    """Lines that share three fifths with all others and the rest, but for a letter of each word, with one."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    passage, rows = " ".join(word() for _ in range(12)), []
+    for _ in range(60):
+        rest = [word() for _ in range(8)]
+        rows += [f"{passage} {' '.join(rest)}", f"{passage} {' '.join(w[:4] + 'z' + w[5:] for w in rest)}"]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    gone = {r.doc_id for r in corpus_pipeline.line_dedup(spark, docs, "").collect() if not r.text}
+    assert gone <= set(range(1, 120, 2)) and len(gone) >= 40, len(gone)  # whether a pair is close by SimHash is a matter of chance
