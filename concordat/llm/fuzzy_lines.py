@@ -539,7 +539,8 @@ def row_groups(lines: DataFrame, num: int, den: int, most: int = MOST, wide: int
             place = np.arange(len(keys)) - np.repeat(first, np.diff(np.r_[first, len(keys)]))
             surplus = (place > most) & (entries["runs"] > 0)
             out = common.bucket_blobs(keys[~surplus], entries[~surplus], buckets)
-            known = often_batch(with_keys(keys[surplus], entries[surplus]), "node", buckets)
+            # under the name that the key has where it comes out of its bucket
+            known = often_batch(with_keys(common.short_keys(keys[surplus], buckets), entries[surplus]), "node", buckets)
             n, m = out.num_rows, known.num_rows
             cols = [pa.concat_arrays([out.column(0), known.column("bucket")]), *(pa.concat_arrays([out.column(k), pa.nulls(m, pa.binary())]) for k in (1, 2)), pa.concat_arrays([pa.nulls(n, pa.binary()), known.column("often")])]
             yield pa.RecordBatch.from_arrays(cols, names=["bucket", "keys", "ids", "often"])

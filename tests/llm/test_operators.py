@@ -598,3 +598,19 @@ def test_pipeline_lines_of_a_shared_passage(spark):
     docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
     gone = {r.doc_id for r in corpus_pipeline.line_dedup(spark, docs, "").collect() if not r.text}
     assert gone <= set(range(1, 120, 2)) and len(gone) >= 40, len(gone)  # whether a pair is close by SimHash is a matter of chance
+
+
+def test_frequent_runs_of_one_batch_and_of_buckets(spark):
+    """Lines that a batch sends as surplus of a frequent run meet those that go through the bucket of its key."""
+    rng = np.random.default_rng(6)
+    n, runs = 200, fuzzy_lines.RUNS + fuzzy_lines.EDGE_RUNS
+    sim = rng.integers(-(2**63), 2**63, n)
+    sim[100:] = sim[:100] ^ (1 << 3 | 1 << 20 | 1 << 37 | 1 << 54)
+    own = rng.integers(1, 2**62, (n, runs))
+    own[:, 0] = -(2**61) + 12345  # a key that needs all of its 64 bits
+    lines = spark.createDataFrame([(k, int(sim[k]), 120, *map(int, own[k])) for k in range(n)], "key long, sim long, length int, " + ", ".join(f"r{k} long" for k in range(runs)))
+    groups = collections.defaultdict(set)
+    for r in fuzzy_lines.row_groups(lines.coalesce(1), 80, 100, most=16).collect():
+        groups[r.root].add(r.node)
+    lost = [k for k in range(100) if not any({k, k + 100} <= g for g in groups.values())]
+    assert not lost, lost
