@@ -227,11 +227,52 @@ def anchored(a: str, b: str, x: np.ndarray, y: np.ndarray, limit: int) -> bool:
         i, j = i + same, j + same
 
 
-def beyond(up: int, down: int, rows: int, done: int, left: int, limit: int) -> bool:
-    """Whether no cell of a column, whose differences are bits, leads to a distance within the limit."""
-    bits = [np.unpackbits(np.frombuffer(x.to_bytes(rows // 8 + 1, "little"), np.uint8), bitorder="little")[:rows].astype(np.int32) for x in (up, down)]
-    cells = done + np.r_[0, np.cumsum(bits[0] - bits[1])]
-    return bool((cells + np.abs(np.arange(rows, -1, -1) - left)).min() > limit)
+def places(a: str, chars: set[str]) -> dict[str, int]:
+    """Where each of some characters stands in a text, as bits."""
+    x, out, some = np.frombuffer(a.encode("utf-32-le"), np.uint32), {}, list(chars)
+    step = max(1, (1 << 20) // len(a))
+    for s in range(0, len(some), step):
+        part = np.array([ord(c) for c in some[s : s + step]], np.uint32)
+        bits = np.packbits(x == part[:, None], axis=1, bitorder="little")
+        out.update(zip(some[s : s + step], [int.from_bytes(r, "little") for r in bits], strict=True))
+    return out
+
+
+COLUMNS = 32  # of a distance matrix between two looks at the diagonal of the result
+
+
+def within(a: str, b: str, limit: int) -> bool:
+    """Whether Levenshtein(a, b) <= limit, ``b`` being no longer than ``a``, by Myers: a column of the
+    matrix as bits of integers, cut to the rows that a path of that cost can reach.
+
+    Rows beyond the cut count as one more than their neighbours, which no such path uses. A cell of the
+    diagonal that ends in the result is at most the result, so that a larger one decides."""
+    where = places(a, set(a) & set(b))
+    apart = len(a) - len(b)
+    side = (limit - apart) // 2
+    low = high = base = up = down = 0  # rows low to high, of which the one above has the value base
+    for s in range(0, len(b), COLUMNS):
+        part = b[s : s + COLUMNS]
+        drop, end = max(s - side - low, 0), min(s + len(part) + apart + side, len(a))
+        mask = (1 << drop) - 1
+        base += (up & mask).bit_count() - (down & mask).bit_count()
+        low += drop
+        up, down = up >> drop | ((1 << end - high) - 1) << high - low, down >> drop
+        high = end
+        full = (1 << high - low) - 1
+        eqs = {c: where.get(c, 0) >> low & full for c in set(part)}
+        for c in part:
+            eq = eqs[c]
+            # what carries and shifts leave above the highest row never comes down
+            d0 = (((eq & up) + up) ^ up) | eq | down
+            x = (down | ~(up | d0)) << 1 | 1
+            up, down = (up & d0) << 1 | ~(x | d0), x & d0
+        up, down = up & full, down & full
+        base += len(part)
+        mask = (1 << s + len(part) + apart - low) - 1
+        if base + (up & mask).bit_count() - (down & mask).bit_count() > limit:
+            return False
+    return True
 
 
 def similar(a: str, b: str, num: int, den: int) -> bool:
@@ -251,31 +292,7 @@ def similar(a: str, b: str, num: int, den: int) -> bool:
         return max(len(a), len(b)) <= limit
     if anchored(a, b, x[head:], y[head:], limit):
         return True
-    if len(a) > len(b):
-        a, b = b, a
-    # Myers: the whole column of the shorter text as bits of one integer
-    where: dict[str, int] = {}
-    for k, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << k
-    full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
-    up, down = full, 0
-    looks = {len(b) * k // 4 for k in (1, 2, 3)} if len(b) >= 128 else ()
-    for k, c in enumerate(b):
-        if k in looks and beyond(up, down, len(a), k, len(b) - k, limit):
-            return False
-        eq = where.get(c, 0)
-        xv = eq | down
-        xh = (((eq & up) + up) ^ up) | eq
-        ph, mh = down | (~(xh | up) & full), up & xh
-        if ph & top:
-            score += 1
-        elif mh & top:
-            score -= 1
-        if score - (len(b) - 1 - k) > limit:
-            return False
-        ph, mh = (ph << 1 | 1) & full, (mh << 1) & full
-        up, down = mh | (~(xv | ph) & full), ph & xv
-    return score <= limit
+    return within(a, b, limit) if len(a) >= len(b) else within(b, a, limit)
 
 
 _LENGTHS, _BITS = (np.array(x) for x in zip(*BITS, strict=True))
@@ -390,18 +407,29 @@ def tile_links(left: list, right: list, same: bool, num: int, den: int) -> tuple
     bits = None
     if rows[0][3] is not None:
         bits = lower_bits(np.stack([np.frombuffer(r[3], np.int64) for r in rows]))
-    label, words = np.arange(len(rows)), [None] * len(rows)
-    a, b = [], []
+    left_, right_, apart = [], [], []
     for k in range(len(left)):
         start = k + 1 if same else len(left)
         near = close(sim[start:], length[start:], sim[k], length[k], num, den)
         if bits is not None:
             near &= ~(bits[start:] & bits[k]).any(1)
-        for m in (np.flatnonzero(near & (label[start:] != label[k])) + start).tolist():
+        m = np.flatnonzero(near) + start
+        left_.append(np.full(len(m), k, np.int32))
+        right_.append(m.astype(np.int32))
+        apart.append(np.bitwise_count(sim[m] ^ sim[k]))
+    order = np.argsort(np.concatenate(apart), kind="stable")
+    left_, right_ = np.concatenate(left_)[order], np.concatenate(right_)[order]
+    label, words = np.arange(len(rows)), [None] * len(rows)
+    a, b = [], []
+    # the closest first, so that most pairs that aren't similar are connected before their turn
+    for s in range(0, len(order), 4096):
+        ks, ms = left_[s : s + 4096], right_[s : s + 4096]
+        some = label[ks] != label[ms]
+        for k, m in zip(ks[some].tolist(), ms[some].tolist(), strict=True):
             if label[m] == label[k]:
                 continue
             for x in (k, m):
-                words[x] = words[x] or set(rows[x][4].split(" "))
+                words[x] = words[x] or word_set(rows[x][4])
             if shares(words[k], words[m]) and similar(rows[k][4], rows[m][4], num, den):
                 label[label == label[m]] = label[k]
                 a.append(rows[k][0])
@@ -411,27 +439,35 @@ def tile_links(left: list, right: list, same: bool, num: int, den: int) -> tuple
 
 def small_links(rows: list, num: int, den: int) -> tuple[list[int], list[int]]:
     """The links of a few lines, which numbers of Python compare sooner than arrays."""
-    label, words = list(range(len(rows))), [set(r[4].split(" ")) for r in rows]
-    a, b = [], []
-    for k, (node, sim, length, _, line) in enumerate(rows):
+    pairs = []
+    for k, (_, sim, length, _, _) in enumerate(rows):
         for m in range(k + 1, len(rows)):
             low, high = sorted((length, rows[m][2]))
-            bits = next(x for n, x in reversed(BITS) if n <= low)
-            if label[m] == label[k] or ((sim ^ rows[m][1]) & 0xFFFFFFFFFFFFFFFF).bit_count() > bits or (den * low < num * high and high != MOST_LENGTH):
-                continue
-            if shares(words[k], words[m]) and similar(line, rows[m][4], num, den):
-                label = [label[k] if x == label[m] else x for x in label]
-                a.append(node)
-                b.append(rows[m][0])
+            apart = ((sim ^ rows[m][1]) & 0xFFFFFFFFFFFFFFFF).bit_count()
+            if apart <= next(x for n, x in reversed(BITS) if n <= low) and (den * low >= num * high or high == MOST_LENGTH):
+                pairs.append((apart, k, m))
+    label, words = list(range(len(rows))), [word_set(r[4]) for r in rows] if pairs else []
+    a, b = [], []
+    for _, k, m in sorted(pairs):
+        if label[m] != label[k] and shares(words[k], words[m]) and similar(rows[k][4], rows[m][4], num, den):
+            label = [label[k] if x == label[m] else x for x in label]
+            a.append(rows[k][0])
+            b.append(rows[m][0])
     return a, b
 
 
-def shares(a: set[str], b: set[str]) -> bool:
+def word_set(line: str) -> tuple[set[str], int]:
+    """Different words of a line and their letters in all."""
+    words = set(line.split(" "))
+    return words, sum(map(len, words))
+
+
+def shares(a: tuple[set[str], int], b: tuple[set[str], int]) -> bool:
     """Whether three fifths of the letters of many words are in common ones. The hashes have asked for as much,
     by chance; this only spares a distance where chance erred."""
-    if len(a) < 12 or len(b) < 12:
+    if len(a[0]) < 12 or len(b[0]) < 12:
         return True
-    return 5 * sum(map(len, a & b)) >= 3 * max(sum(map(len, a)), sum(map(len, b)))
+    return 5 * sum(map(len, a[0] & b[0])) >= 3 * max(a[1], b[1])
 
 
 NEAR = "node long, root long, sim long, length int, lower binary, bucket int, often binary"

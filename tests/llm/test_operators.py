@@ -614,3 +614,18 @@ def test_frequent_runs_of_one_batch_and_of_buckets(spark):
         groups[r.root].add(r.node)
     lost = [k for k in range(100) if not any({k, k + 100} <= g for g in groups.values())]
     assert not lost, lost
+
+
+def test_edit_distance_of_long_lines():
+    """The cut columns give the same answer as the whole matrix, at the limit and on both sides of it."""
+    rng = random.Random(8)
+    for _ in range(150):
+        a = [rng.choice("abcdé ") for _ in range(rng.randrange(1, 200))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 1 + len(a) // 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(0, 3)] = [rng.choice("abcdé ") for _ in range(rng.randrange(0, 3))]
+        a, b = sorted(("".join(a), "".join(b)), key=len, reverse=True)
+        d = edit_distance(a, b)
+        for limit in (d - 1, d, d + 5):
+            assert not b or limit < len(a) - len(b) or fuzzy_lines.within(a, b, limit) == (d <= limit)
