@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, in_filter, key_filter, mix, release, ship, shuffle_parts, text_chunks, words
+from .common import BUCKETS_SCHEMA, U64, bucket_blobs, bucket_edges, components, cut, distinct_pairs, drop_cut, in_filter, key_filter, mix, release, ship, shuffle_parts, shuffles_freed, text_chunks, words
 from .tiles import each_tile, tile_rows
 
 SLOTS = 1 << 24  # counters of the order: 16 MB on the driver and in each worker, whatever the data
@@ -218,6 +218,15 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    with shuffles_freed(spark):
+        table, owner = _owners(spark, src, n, num, den, block_rows)
+    some, empty = table.where("n_shingles > 0"), table.where("n_shingles = 0")
+    out = some.select("doc_id", "n_shingles", "node").join(owner, "node").select("doc_id", "n_shingles", "component_id")
+    return out.unionAll(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _owners(spark, src: DataFrame, n: int, num: int, den: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node, checked) of every document, and (node, component_id) of every set."""
     buckets, low = 8 * shuffle_parts(spark), size_classes(num, den)
 
     def nodes_of(batches):
@@ -237,9 +246,10 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         yield pa.RecordBatch.from_arrays([*nothing, pa.array(some, pa.int32()), pa.array([zlib.compress(blocks[k].tobytes(), 1) for k in some], pa.binary())], names=names)
 
     names, none = ["doc_id", "n_shingles", "node", "checked", "slot_block", "held"], np.zeros(0, np.int64)
-    table = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, checked long, slot_block int, held binary"))
-    order = spark.sparkContext.broadcast(counted(table))
-    table = table.where("held IS NULL").select("doc_id", "n_shingles", "node", "checked")
+    counts = cut(src.mapInArrow(nodes_of, "doc_id long, n_shingles long, node long, checked long, slot_block int, held binary"))
+    order = spark.sparkContext.broadcast(counted(counts))
+    table = cut(counts.where("held IS NULL").select("doc_id", "n_shingles", "node", "checked"))
+    drop_cut(counts)  # some MB of counters from each task
     # unequal sets of one hash: none below 10^8 documents, some hundreds at 10^10
     clash = table.where("n_shingles > 0").groupBy("node").agg(F.min("checked").alias("a"), F.max("checked").alias("b")).where("a <> b").select("node")
     clashes = np.array(sorted(r["node"] for r in clash.collect()), np.int64)
@@ -269,7 +279,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     edges = cut(edges.distinct())
     release(spark)
     near = _row_groups(edges, 2 * block_rows)
-    some, empty = table.where("n_shingles > 0"), table.where("n_shingles = 0")
+    some = table.where("n_shingles > 0")
     # the smallest id of each set, then of each component, found over sets and not over documents
     least = cut(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(0))).alias("speaker")))
     linked = _verified(spark, src, near, _speakers(least, near), n, num, den, block_rows, clashes)
@@ -279,8 +289,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     roots = cut(joined.join(roots, "root").select("node", "component_id"))
     owner = cut(least.join(roots, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")))
     release(spark)
-    out = some.select("doc_id", "n_shingles", "node").join(owner, "node").select("doc_id", "n_shingles", "component_id")
-    return out.unionAll(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return table, owner
 
 
 def _row_groups(edges: DataFrame, most: int) -> DataFrame:

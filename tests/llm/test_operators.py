@@ -3,15 +3,17 @@
 import base64
 import collections
 import gzip
+import os
 import random
 import re
+import time
 import urllib.parse
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concordat.llm import decontaminate, fuzzy_lines, licences, nearest, ngram_join, private_data, queries, secrets, sentence_runs, toxicity
+from concordat.llm import common, decontaminate, fuzzy_lines, licences, nearest, ngram_join, private_data, queries, secrets, sentence_runs, toxicity
 from concordat.llm.common import components
 from concordat.llm.pieces import PieceModel, encode_decode
 
@@ -102,6 +104,40 @@ def test_ngram_join_near_sizes(spark):
         assert {tuple(r) for r in ngram_join.ngram_components(df, block_rows=blocks).collect()} == {(i, len(s), root[i]) for i, s in sets.items()}
 
 
+def test_ngram_join_leaves_no_shuffles(spark, docs, monkeypatch):
+    """What finished steps have shuffled is gone without the help of any garbage collection, as are the
+    counters that tasks have written; the result can be read again and the session is as before."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    blocks, steps, dropped = disk.getAllBlocks, [], []
+    shuffles = lambda: {x for x in (str(b) for b in blocks().mkString(" ").split()) if x.startswith("shuffle_")}
+    monkeypatch.setattr(ngram_join, "release", lambda spark: None)
+    monkeypatch.setattr(common, "release", lambda spark: None)
+    was, kept, drop = shuffles(), ngram_join.cut, ngram_join.drop_cut
+
+    def cut(df):
+        out = kept(df)
+        for _ in range(100):
+            if not (left := shuffles() - was):
+                break
+            time.sleep(0.1)
+        steps.append(left)
+        return out
+
+    def drop_cut(df):
+        dropped.append(df)
+        drop(df)
+
+    monkeypatch.setattr(ngram_join, "cut", cut)
+    monkeypatch.setattr(ngram_join, "drop_cut", drop_cut)
+    setting = spark.conf.get(common.SHUFFLES_GO, None)
+    out = ngram_join.ngram_components(docs)
+    assert len(steps) > 5 and not any(steps)
+    assert spark.conf.get(common.SHUFFLES_GO, None) == setting
+    (counts,) = dropped
+    assert not os.path.exists(counts._jdf.queryExecution().logical().rdd().getCheckpointFile().get().removeprefix("file:"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, out.collect())) and out.count() == docs.count()
+
+
 def edit_distance(a, b):
     head = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
     a, b = a[head:], b[head:]
