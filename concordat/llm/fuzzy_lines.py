@@ -55,8 +55,13 @@ WIDE = 4096  # lines of a key that one task compares; larger groups are cut into
 
 WORD = np.zeros(256, bool)
 WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-#: For every value of 4 hash bits, four 16-bit counters.
-NIBBLE = np.array([sum(((v >> k) & 1) << (16 * k) for k in range(4)) for v in range(16)], U64)
+#: For every value of a byte of the hash, four 16-bit counters of its lower bits and four of its higher ones.
+NIBBLES = [np.array([sum(((v >> (4 * n + k)) & 1) << (16 * k) for k in range(4)) for v in range(256)], U64) for n in range(2)]
+
+
+def bits_of(x: np.ndarray) -> np.ndarray:
+    """The 64 bits of each number, the lowest first."""
+    return np.unpackbits(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(bool)
 
 
 def simhash(words: np.ndarray, sizes: np.ndarray, starts: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -80,12 +85,15 @@ def simhash(words: np.ndarray, sizes: np.ndarray, starts: np.ndarray, counts: np
     starts = np.cumsum(counts) - counts
     tie = np.where(counts < 4, mix(keys.view(U64)), np.minimum.reduceat(words, starts))
     whole = np.add.reduceat(weights, starts).astype(np.int64)
-    for n in range(16):
-        sums = np.add.reduceat(NIBBLE[((words >> U64(4 * n)) & U64(15)).astype(np.int64)] * weights, starts)
-        for k in range(4):
-            ones = 2 * ((sums >> U64(16 * k)) & U64(0xFFFF)).astype(np.int64)
-            bit = (tie >> U64(4 * n + k)) & U64(1)
-            out |= np.where(ones == whole, bit, (ones > whole).astype(U64)) << U64(4 * n + k)
+    sums, bytes_ = np.empty((16, len(starts)), U64), words.view(np.uint8).reshape(-1, 8)
+    for n in range(8):
+        byte = bytes_[:, n].astype(np.intp)
+        for k in range(2):
+            np.add.reduceat(NIBBLES[k][byte] * weights, starts, out=sums[2 * n + k])
+    # of each line 64 counters, as the bits of the hash come
+    ones = 2 * np.ascontiguousarray(sums.T).view(np.uint16).astype(np.int32)
+    least = whole.astype(np.int32)[:, None]
+    out[:] = np.packbits((ones > least) | ((ones == least) & bits_of(tie)), axis=1, bitorder="little").view(U64)[:, 0]
     for r in np.flatnonzero(whole > 65535):  # more than the counters hold
         here = slice(starts[r], starts[r] + counts[r])
         ones = [2 * int(weights[here][(words[here] >> U64(k)) & U64(1) == 1].sum()) for k in range(64)]
@@ -247,7 +255,10 @@ def within(a: str, b: str, limit: int) -> bool:
 
     Rows beyond the cut count as one more than their neighbours, which no such path uses. A cell of the
     diagonal that ends in the result is at most the result, so that a larger one decides."""
-    where = places(a, set(a) & set(b))
+    common = set(a) & set(b)
+    if len(a) - sum(min(a.count(c), b.count(c)) for c in common) > limit:  # each other character of a costs one
+        return False
+    where = places(a, common)
     apart = len(a) - len(b)
     side = (limit - apart) // 2
     low = high = base = up = down = 0  # rows low to high, of which the one above has the value base

@@ -665,3 +665,20 @@ def test_edit_distance_of_long_lines():
         d = edit_distance(a, b)
         for limit in (d - 1, d, d + 5):
             assert not b or limit < len(a) - len(b) or fuzzy_lines.within(a, b, limit) == (d <= limit)
+
+
+def test_simhash_bits_and_refusal_by_letters(monkeypatch):
+    """The hash agrees with sums bit by bit, ties and heavy lines included; lines of other letters need no columns."""
+    rng = np.random.default_rng(12)
+    counts = np.array([1, 2, 3, 4, 7, 40, 9000])
+    starts, n = np.cumsum(counts) - counts, int(counts.sum())
+    words, sizes, keys = rng.integers(0, 2**64, n, np.uint64), rng.integers(1, 25, n), rng.integers(-(2**63), 2**63, len(counts))
+    got = fuzzy_lines.simhash(words, sizes, starts, counts, keys)
+    for r, (s, c) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
+        tie = int(common.mix(keys[r : r + 1].view(np.uint64))[0]) if c < 4 else int(words[s : s + c].min())
+        weights = np.rint(2 * np.sqrt(sizes[s : s + c])).astype(int)
+        for k in range(64):
+            ones = 2 * int(weights[(words[s : s + c] >> np.uint64(k)) & np.uint64(1) == 1].sum())
+            assert int(got[r]) >> k & 1 == (tie >> k & 1 if ones == weights.sum() else ones > weights.sum())
+    monkeypatch.setattr(fuzzy_lines, "places", lambda *_: pytest.fail("the letters alone tell that these are too far apart"))
+    assert not fuzzy_lines.within("abcdefghijklmnop", "abcdqrstuvwxyz", 11)
